@@ -12,6 +12,7 @@ from slowtide.operators import profile
 from slowtide.operators.quantiles import exact_quantiles
 from slowtide.operators.series import resample
 from slowtide.plans import features
+from slowtide.session import durable
 from slowtide.sources.testdata import requests, scored, table, w3c_log
 
 _MEANS = 'round(response_time, 6) AS response_time, round("CPU", 6) AS "CPU", round("RAM", 6) AS "RAM"'
@@ -302,19 +303,15 @@ def _density_sql(label: str, source: str, column: str) -> str:
 )
 def _(spark: SparkSession, sf: str) -> DataFrame:
     log = requests(spark, sf)
-    sources = {"raw": log, "buckets": features.feature_series(log)}
+    names = ["CPU", "RAM", "response_time"]
     parts = [
-        profile.density(df, c).select(
-            F.lit(name).alias("source"),
-            F.lit(c).alias("column_name"),
+        profile.density(df.select(*names), names).select(
+            F.lit(source).alias("source"),
+            "column_name",
             "point",
             F.round("at", 6).alias("at"),
             F.round("density", 9).alias("density"),
         )
-        for name, df in sources.items()
-        for c in ("CPU", "RAM", "response_time")
+        for source, df in (("raw", log), ("buckets", durable(features.feature_series(log))))
     ]
-    merged = parts[0]
-    for part in parts[1:]:
-        merged = merged.unionByName(part)
-    return merged
+    return parts[0].unionByName(parts[1])

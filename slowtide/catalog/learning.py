@@ -9,7 +9,7 @@ from slowtide import schemas
 from slowtide.catalog.registry import now, query, rounded
 from slowtide.catalog.windows import train_part
 from slowtide.operators import columns, runs
-from slowtide.operators.sequences import asymmetric_losses, class_weights, fit_scaler, latest_window, sequences
+from slowtide.operators.sequences import asymmetric_losses, class_weights, fit_scaler, latest_window, sequence_limits, sequences
 from slowtide.operators.slices import split_ordered
 from slowtide.plans import features, training
 from slowtide.session import durable, fresh_folder
@@ -48,7 +48,8 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
         SELECT label, count(*) AS n, round((SELECT count(*) FROM y) / (2.0::DOUBLE * count(*)), 6) AS weight FROM y GROUP BY 1""",
 )
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    windows = split_ordered(sequences(train_part(spark, sf), ["CPU"]))
+    series = durable(train_part(spark, sf).select("bucket_id", "bucket", "CPU", "target"))
+    windows = split_ordered(sequences(series, ["CPU"]), limits=sequence_limits(series))
     return rounded(class_weights(windows.where("is_validation = 0")))
 
 

@@ -9,8 +9,10 @@ from slowtide import schemas
 from slowtide.catalog.registry import query, rounded
 from slowtide.catalog.windows import train_part
 from slowtide.functions import clock
-from slowtide.operators import runs, slices
+from slowtide.operators import evaluation, runs, slices
+from slowtide.operators.sequences import sequence_limits, sequences
 from slowtide.plans import features
+from slowtide.session import durable
 from slowtide.sources.testdata import host_samples, requests, scored
 
 
@@ -75,10 +77,9 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
        FROM train_part WHERE bucket_id >= (SELECT min(bucket_id) + 24 FROM train_part)""",
 )
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    from slowtide.operators.sequences import sequences
-
-    windows = sequences(train_part(spark, sf), ["CPU"])
-    return slices.split_ordered(windows).select("bucket_id", "is_validation")
+    series = durable(train_part(spark, sf).select("bucket_id", "bucket", "CPU", "target"))
+    windows = slices.split_ordered(sequences(series, ["CPU"]), limits=sequence_limits(series))
+    return windows.select("bucket_id", "is_validation")
 
 
 RUNS_SQL = """
@@ -93,8 +94,6 @@ RUNS_SQL = """
 
 def run_table(spark: SparkSession, sf: str) -> DataFrame:
     """One run per user: the scores of that user's rows."""
-    from slowtide.operators import evaluation
-
     cells = evaluation.confusion_counts(F.col("true_label"), F.col("predicted_label"))
     per_user = scored(spark, sf).groupBy("user_id").agg(
         *[c.alias(n) for n, c in cells.items()], F.count("*").alias("n"), F.max("timestamp").alias("run_ts")

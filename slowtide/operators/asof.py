@@ -1,8 +1,8 @@
 """As-of join: each left row with the right row nearest in time.
 
 Only the distinct left times take part in the search. They and the right times are
-cut in balanced ranges, each range is scanned forwards and backwards, and ranges
-without a right row take theirs from the neighbouring ranges. A time or range with
+cut in balanced ranges, each range is scanned forwards and backwards, and rows before
+the first or after the last right row of a range look into the neighbouring ranges. A time or range with
 most of the rows therefore neither pairs up rows nor lands in one task; the final
 equi-join on time is left to AQE's skew handling.
 """
@@ -12,12 +12,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import timedelta
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from slowtide.functions import clock
-from slowtide.operators.segments import ROWS_PER_SEGMENT, with_segment
-from slowtide.session import durable
+from slowtide.operators.segments import ROWS_PER_SEGMENT, find_cuts, place
 
 
 def asof_join(
@@ -60,28 +59,16 @@ def asof_join(
         .distinct()
         .select(*by, on, at.alias("at"), F.lit(1).alias("side"), nothing.alias("last"), nothing.alias("first"))
     )
-    steps = durable(
-        samples.select(*by, on, at.alias("at"), F.lit(0).alias("side"), "last", "first").unionByName(times)
+    steps = samples.select(*by, on, at.alias("at"), F.lit(0).alias("side"), "last", "first").unionByName(times)
+    cuts = sorted(
+        {cut for df in (left, right) for cut in find_cuts(df.select(at.alias("at")), "at", rows_per_segment)}
     )
     cut = (
-        with_segment(steps, "at", rows_per_segment)
+        place(steps, "at", cuts)
         .withColumn("back", F.when(F.col("side") == 0, F.struct("at", F.col("last").alias("row"))))
         .withColumn("ahead", F.when(F.col("side") == 0, F.struct("at", F.col("first").alias("row"))))
         .drop("last", "first")
     )
-    edges = cut.groupBy(*by, "_segment").agg(
-        F.max_by("back", F.when(F.col("side") == 0, F.col("at"))).alias("tail"),
-        F.min_by("ahead", F.when(F.col("side") == 0, F.col("at"))).alias("head"),
-    )
-    across = Window.partitionBy(*by).orderBy("_segment")
-    carried = edges.select(
-        *by,
-        "_segment",
-        F.last("tail", ignorenulls=True).over(across.rowsBetween(Window.unboundedPreceding, -1)).alias("tail"),
-        F.last("head", ignorenulls=True)
-        .over(Window.partitionBy(*by).orderBy(F.desc("_segment")).rowsBetween(Window.unboundedPreceding, -1))
-        .alias("head"),
-    )
     within = Window.partitionBy(*by, "_segment")
     so_far = (Window.unboundedPreceding, 0)
     scanned = cut
@@ -91,9 +78,11 @@ def asof_join(
     if direction != "backward":
         down = within.orderBy(F.desc("at"), F.asc("side")).rowsBetween(*so_far)
         scanned = scanned.withColumn("ahead", F.last("ahead", ignorenulls=True).over(down))
-    found = scanned.where(F.col("side") == 1).join(carried, [*by, "_segment"], "left")
-    back = F.coalesce(F.col("back"), F.col("tail"))
-    ahead = F.coalesce(F.col("ahead"), F.col("head"))
+    found = scanned.where(F.col("side") == 1)
+    back, ahead = F.col("back"), F.col("ahead")
+    if cuts:
+        found = found.join(_neighbours(samples, by, at, cuts), [*by, "_segment"], "left")
+        back, ahead = F.coalesce(back, F.col("tail")), F.coalesce(ahead, F.col("head"))
     to_back, to_ahead = F.col("at") - back["at"], ahead["at"] - F.col("at")
     if direction == "backward":
         chosen, distance = back, to_back
@@ -113,3 +102,26 @@ def asof_join(
         *[F.col(c).alias(c + suffixes[0]) if c in both else F.col(c) for c in left.columns],
         *[F.col("_match")[c].alias(name) for c, name in picked.items()],
     )
+
+
+def _neighbours(samples: DataFrame, by: Sequence[str], at: Column, cuts: Sequence[float]) -> DataFrame:
+    """Per range: the last right row of the ranges before it, the first of those after it.
+
+    One row per key and range, so the windows here stay as short as the list of cuts.
+    """
+    placed = place(samples.withColumn("at", at), "at", cuts)
+    edges = placed.groupBy(*by, "_segment").agg(
+        F.max_by(F.struct("at", F.col("last").alias("row")), F.col("at")).alias("tail"),
+        F.min_by(F.struct("at", F.col("first").alias("row")), F.col("at")).alias("head"),
+    )
+    # Ranges without a right row must appear too.
+    every = edges.select(*by).distinct() if by else samples.sparkSession.range(1)
+    ranges = every.select(*by, F.explode(F.sequence(F.lit(0), F.lit(len(cuts)))).alias("_segment"))
+    before = Window.partitionBy(*by).orderBy("_segment").rowsBetween(Window.unboundedPreceding, -1)
+    after = Window.partitionBy(*by).orderBy(F.desc("_segment")).rowsBetween(Window.unboundedPreceding, -1)
+    return ranges.join(edges, [*by, "_segment"], "left").select(
+        *by,
+        "_segment",
+        F.last("tail", ignorenulls=True).over(before).alias("tail"),
+        F.last("head", ignorenulls=True).over(after).alias("head"),
+    )

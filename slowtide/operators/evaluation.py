@@ -6,8 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from slowtide.functions import flags
-from slowtide.operators.segments import ROWS_PER_SEGMENT, with_segment
-from slowtide.session import durable
+from slowtide.operators.segments import ROWS_PER_SEGMENT, find_cuts, place
 
 # Probability ranges, left-closed and right-open.
 RANGES = [(0.0, 0.2), (0.2, 0.4), (0.4, 0.6), (0.6, 0.8), (0.8, 1.0)]
@@ -93,40 +92,38 @@ def pr_curve(
 ) -> DataFrame:
     """Precision and recall at every distinct score, predicting 1 where ``p >= threshold``.
 
-    Scores are counted first; the running counts go range by range from the highest
-    score down, each range starting from the totals of the ranges above. The end
-    point (precision 1, recall 0) has a null threshold.
+    The scores are cut in balanced ranges; a first pass totals each range, a second
+    counts per distinct score and runs from the top of its range down, starting from
+    the totals of the ranges above. The end point (precision 1, recall 0) has a null
+    threshold.
     """
-    counted = durable(
-        df.where(F.col(p).isNotNull())
-        .groupBy(F.col(p).alias("threshold"))
-        .agg(F.count("*").alias("n"), F.sum(F.col(label).cast("bigint")).alias("pos"))
+    rows = df.where(F.col(p).isNotNull()).select(
+        F.col(p).cast("double").alias("threshold"), F.col(label).cast("bigint").alias("pos")
     )
-    cut = with_segment(counted, "threshold", rows_per_segment)
-    inside = Window.partitionBy("_segment").orderBy(F.desc("threshold")).rowsBetween(Window.unboundedPreceding, 0)
-    above = Window.orderBy(F.desc("_segment")).rowsBetween(Window.unboundedPreceding, -1)
+    cuts = find_cuts(rows, "threshold", rows_per_segment)
+    placed = place(rows, "threshold", cuts)
     # At most MAX_SEGMENTS rows.
-    totals = cut.groupBy("_segment").agg(F.sum("n").alias("n"), F.sum("pos").alias("pos"))
-    carried = totals.select(
-        "_segment",
-        F.coalesce(F.sum("n").over(above), F.lit(0)).alias("n_above"),
-        F.coalesce(F.sum("pos").over(above), F.lit(0)).alias("pos_above"),
-    )
-    positives = counted.agg(F.sum("pos")).scalar()
+    totals = placed.groupBy("_segment").agg(F.count("*").alias("n"), F.sum("pos").alias("pos")).collect()
+    positives = sum(t["pos"] for t in totals)
+    inside = Window.partitionBy("_segment").orderBy(F.desc("threshold")).rowsBetween(Window.unboundedPreceding, 0)
     running = (
-        cut.withColumn("n", F.sum("n").over(inside))
-        .withColumn("pos", F.sum("pos").over(inside))
-        .join(F.broadcast(carried), "_segment")
-        .select(
-            "threshold",
-            (F.col("pos") + F.col("pos_above")).alias("tp"),
-            (F.col("n") + F.col("n_above")).alias("predicted"),
-        )
+        placed.groupBy("_segment", "threshold")
+        .agg(F.count("*").alias("predicted"), F.sum("pos").alias("tp"))
+        .withColumns({"predicted": F.sum("predicted").over(inside), "tp": F.sum("tp").over(inside)})
     )
+    if len(totals) > 1:
+        above, starts = (0, 0), []
+        for t in sorted(totals, key=lambda t: -t["_segment"]):
+            starts.append((t["_segment"], *above))
+            above = (above[0] + t["n"], above[1] + t["pos"])
+        table = df.sparkSession.createDataFrame(starts, "_segment int, n_above bigint, pos_above bigint")
+        running = running.join(F.broadcast(table), "_segment").withColumns(
+            {"predicted": F.col("predicted") + F.col("n_above"), "tp": F.col("tp") + F.col("pos_above")}
+        )
     points = running.select(
         "threshold",
         (F.col("tp") / F.col("predicted")).alias("precision"),
-        F.when(positives > 0, F.col("tp") / positives).otherwise(1.0).alias("recall"),
+        (F.col("tp") / F.lit(positives)).alias("recall") if positives else F.lit(1.0).alias("recall"),
     )
     end = df.sparkSession.range(1).select(
         F.lit(None).cast("double").alias("threshold"), F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall")

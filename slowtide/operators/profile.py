@@ -145,28 +145,50 @@ def histogram(df: DataFrame, value: str, bins: int) -> DataFrame:
     )
 
 
-def density(df: DataFrame, value: str, points: int = 200, cut: float = 3.0) -> DataFrame:
-    """Gaussian kernel density on a grid; bandwidth = sample std · n^(-1/5).
+def density(df: DataFrame, values: Sequence[str], points: int = 200, cut: float = 3.0) -> DataFrame:
+    """Gaussian kernel density of each column on its own grid; bandwidth = sample std · n^(-1/5).
 
-    Equal values are counted first; each then adds to the grid inside its own task
-    and the partial sums meet as ``points`` rows per task.
+    Equal values are counted first; each then adds to the grid points inside its own
+    task, and the partial sums meet as ``points`` rows per column and task.
     """
-    x = df.select(F.col(value).cast("double").alias("x")).where(F.col("x").isNotNull())
-    s = x.agg(
-        F.count("x").alias("n"), F.stddev_samp("x").alias("std"), F.min("x").alias("lo"), F.max("x").alias("hi")
+    stats = df.agg(
+        *[
+            F.struct(
+                F.count(c).alias("n"), F.stddev_samp(c).alias("std"),
+                F.min(c).cast("double").alias("lo"), F.max(c).cast("double").alias("hi"),
+            ).alias(f"s{i}")
+            for i, c in enumerate(values)
+        ]
     ).first()
-    empty = not s["std"]
-    h = 1.0 if empty else s["std"] * s["n"] ** -0.2
-    lo, hi = (0.0, 0.0) if empty else (s["lo"] - cut * h, s["hi"] + cut * h)
-    step = (hi - lo) / (points - 1)
-    scale = 1.0 if empty else 1.0 / (s["n"] * h * math.sqrt(2 * math.pi))
-    grid = F.array(*[F.struct(F.lit(i).alias("point"), F.lit(lo + i * step).alias("at")) for i in range(points)])
-    z = (F.col("at") - F.col("x")) / h
+    grids = {}
+    for i, c in enumerate(values):
+        s = stats[f"s{i}"]
+        if s["std"]:
+            h = s["std"] * s["n"] ** -0.2
+            lo, hi = s["lo"] - cut * h, s["hi"] + cut * h
+            grids[c] = (lo, (hi - lo) / (points - 1), h, 1.0 / (s["n"] * h * math.sqrt(2 * math.pi)))
+
+    def of_column(part: int) -> Column:
+        chain = F.lit(None).cast("double")
+        for c, grid in grids.items():
+            chain = F.when(F.col("column_name") == c, F.lit(grid[part])).otherwise(chain)
+        return chain
+
+    stacked = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("x")) for c in values])
+    z = (F.col("lo") + F.col("point") * F.col("step") - F.col("x")) / F.col("h")
     return (
-        x.where(F.lit(not empty))
-        .groupBy("x")
+        df.select(F.inline(stacked))
+        .where(F.col("x").isNotNull() & F.col("column_name").isin(list(grids)))
+        .groupBy("column_name", "x")
         .agg(F.count("*").alias("n"))
-        .select("x", "n", F.inline(grid))
-        .groupBy("point", "at")
-        .agg((F.sum(F.col("n") * F.exp(-0.5 * z * z)) * scale).alias("density"))
+        .withColumns({"lo": of_column(0), "step": of_column(1), "h": of_column(2)})
+        .select("*", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"))
+        .groupBy("column_name", "point")
+        .agg(F.sum(F.col("n") * F.exp(-0.5 * z * z)).alias("total"))
+        .select(
+            "column_name",
+            "point",
+            (of_column(0) + F.col("point") * of_column(1)).alias("at"),
+            (F.col("total") * of_column(3)).alias("density"),
+        )
     )

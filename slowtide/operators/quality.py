@@ -224,21 +224,24 @@ def model_age(runs: DataFrame, now: Column, run_ts: str = "run_ts") -> DataFrame
     )
 
 
-def roll_up(checks: DataFrame, strict: bool = False) -> DataFrame:
-    """One row from rows of (component, status): CRITICAL, WARNING or HEALTHY.
+def overall_status(statuses: Column, strict: bool = False) -> Column:
+    """CRITICAL, WARNING or HEALTHY from an array of component statuses.
 
     Statuses in neither list count as healthy unless ``strict``.
     """
     warning = WARNING + (OVERLOOKED if strict else [])
-    status = F.col("status")
-    return checks.agg(
-        F.max(status.isin(CRITICAL).cast("int")).alias("critical"),
-        F.max(status.isin(warning).cast("int")).alias("warning"),
-        # One status per component.
-        F.array_sort(F.collect_list(F.concat("component", F.lit("="), "status"))).alias("statuses"),
-    ).select(
-        F.when(F.col("critical") == 1, "CRITICAL").when(F.col("warning") == 1, "WARNING").otherwise("HEALTHY").alias("overall_status"),
-        "statuses",
+    return (
+        F.when(F.exists(statuses, lambda s: s.isin(CRITICAL)), "CRITICAL")
+        .when(F.exists(statuses, lambda s: s.isin(warning)), "WARNING")
+        .otherwise("HEALTHY")
+    )
+
+
+def roll_up(checks: DataFrame, strict: bool = False) -> DataFrame:
+    """One row from rows of (component, status)."""
+    # The distinct statuses are at most as many as there are status names.
+    return checks.agg(F.collect_set("status").alias("statuses")).select(
+        overall_status(F.col("statuses"), strict).alias("overall_status"), F.array_sort("statuses").alias("statuses")
     )
 
 

@@ -14,6 +14,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from slowtide.operators.sketch import fences
+
 DISTINCT_IN_ONE_SORT = 500_000
 _FENCES = 1000
 
@@ -103,18 +105,14 @@ def _between(i: int, r: _Rank) -> Column:
 
 def _narrow(xs: DataFrame, ranks: dict[tuple[int, int], _Rank]) -> None:
     """One sketch pass that proposes tighter fences, one counting pass that proves them."""
-    grid = [j / _FENCES for j in range(_FENCES + 1)]
     keys = list(ranks)
-    sketch = xs.agg(
-        *[F.percentile_approx(_between(i, ranks[i, k]), grid, 10 * _FENCES).alias(f"f{n}") for n, (i, k) in enumerate(keys)]
-    ).first()
+    sketches = fences(xs, [_between(i, ranks[i, k]) for i, k in keys], _FENCES)
     proposals = []
-    for n, key in enumerate(keys):
+    for key, (_, marks) in zip(keys, sketches):
         r = ranks[key]
-        fences = sketch[f"f{n}"]
         at = (r.rank - r.below) / max(r.inside - 1, 1) * _FENCES
-        low = fences[max(math.floor(at) - r.slack, 0)] if at - r.slack > 0 else r.low
-        high = fences[min(math.ceil(at) + r.slack, _FENCES)] if at + r.slack < _FENCES else r.high
+        low = marks[max(math.floor(at) - r.slack, 0)] if at - r.slack > 0 else r.low
+        high = marks[min(math.ceil(at) + r.slack, _FENCES)] if at + r.slack < _FENCES else r.high
         proposals.append((max(low, r.low), min(high, r.high)))
     counts = xs.agg(
         *[

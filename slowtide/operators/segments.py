@@ -3,31 +3,31 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-ROWS_PER_SEGMENT = 200_000
-MAX_SEGMENTS = 4096
+from slowtide.operators.sketch import fences
 
+ROWS_PER_SEGMENT = 1_000_000
+MAX_SEGMENTS = 1024
 
-def with_segment(
-    df: DataFrame, order: str, rows_per_segment: int = ROWS_PER_SEGMENT, name: str = "_segment"
-) -> DataFrame:
-    """Number consecutive ranges of ``order`` so that each holds about as many rows.
 
-    The cuts come from one sketch pass and only steer the balance: equal values share
-    a segment and segments follow the order of the values, whatever the cuts are.
-    ``df`` is read twice and should be durable or cheap.
+def find_cuts(df: DataFrame, order: str, rows_per_segment: int = ROWS_PER_SEGMENT) -> list[float]:
+    """Values of ``order`` between which there are about ``rows_per_segment`` rows.
+
+    One sketch pass over that column. A value with very many rows gives one cut, so
+    the distinct values between two cuts are never more than the rows asked for.
     """
-    size = df.agg(F.count(order).alias("n")).first()["n"]
-    wanted = min(MAX_SEGMENTS, math.ceil(size / rows_per_segment))
-    cuts: list[float] = []
-    if wanted > 1:
-        at = [j / wanted for j in range(1, wanted)]
-        sketch = df.agg(F.percentile_approx(F.col(order).cast("double"), at, 10 * wanted).alias("q")).first()["q"]
-        cuts = sorted(set(sketch))
+    total, marks = fences(df, [F.col(order)], MAX_SEGMENTS)[0]
+    wanted = min(MAX_SEGMENTS, math.ceil(total / rows_per_segment))
+    return sorted({marks[j * MAX_SEGMENTS // wanted] for j in range(1, wanted)}) if wanted > 1 else []
+
+
+def place(df: DataFrame, order: str, cuts: Sequence[float], name: str = "_segment") -> DataFrame:
+    """Number the ranges between the cuts; equal values share a range, ranges keep the order."""
     if not cuts:
         return df.withColumn(name, F.lit(0))
     placed = Bucketizer(

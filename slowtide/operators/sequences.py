@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from slowtide.functions import flags
 from slowtide.operators.chunked import over_halo
+from slowtide.operators.series import bounds
 from slowtide.operators.slices import tail
 
 
@@ -38,6 +39,11 @@ def sequences(
     return framed.where(F.size("steps") == window).drop("_step")
 
 
+def sequence_limits(series: DataFrame, window: int = 24, keys: Sequence[str] = ()) -> DataFrame:
+    """First and last ``bucket_id`` that get a sequence."""
+    return bounds(series, keys).withColumn("lo", F.col("lo") + window)
+
+
 @dataclass(frozen=True)
 class Scaler:
     features: tuple[str, ...]
@@ -103,9 +109,11 @@ def window_weights(series: DataFrame, window: int = 24, fit_on: str = "all", sha
 def class_weights(df: DataFrame, label: str = "label") -> DataFrame:
     """Balanced weights n / (classes · n_class); no rows when there is one class only."""
     counts = df.groupBy(label).agg(F.count("*").alias("n"))
-    total = counts.select(F.struct(F.sum("n").alias("n"), F.count("*").alias("k"))).scalar()
-    return counts.where(total["k"] > 1).select(
-        label, "n", (total["n"] / (total["k"] * F.col("n"))).alias("weight")
+    # One row per class.
+    classes = Window.partitionBy()
+    total, k = F.sum("n").over(classes), F.count("*").over(classes)
+    return counts.select(label, "n", F.when(k > 1, total / (k * F.col("n"))).alias("weight")).where(
+        F.col("weight").isNotNull()
     )
 
 

@@ -43,22 +43,29 @@ def look_up(df: DataFrame, target: Column, ts: str = "timestamp", tie: Sequence[
 
 def split_holdout(series: DataFrame, last: int = 5, keys: Sequence[str] = ()) -> DataFrame:
     """Tag ``holdout`` = 1 on the last rows of a dense series."""
-    return _with_limits(series, keys).withColumn("holdout", (F.col("bucket_id") > F.col("hi") - last).cast("int")).drop("lo", "hi")
+    return (
+        _with_limits(series, bounds(series, keys), keys)
+        .withColumn("holdout", (F.col("bucket_id") > F.col("hi") - last).cast("int"))
+        .drop("lo", "hi")
+    )
+
 
+def split_ordered(
+    windows: DataFrame, share: float = 0.2, keys: Sequence[str] = (), limits: DataFrame | None = None
+) -> DataFrame:
+    """Tag ``is_validation`` = 1 on the last ceil(share·n) rows of dense ``bucket_id``.
 
-def split_ordered(windows: DataFrame, share: float = 0.2, keys: Sequence[str] = ()) -> DataFrame:
-    """Tag ``is_validation`` = 1 on the last ceil(share·n) rows of dense ``bucket_id``."""
-    n = F.col("hi") - F.col("lo") + 1
-    held = F.ceil(n * F.lit(share)).cast("bigint")
+    ``limits`` (keys, lo, hi) saves evaluating ``windows`` a second time.
+    """
+    held = F.ceil((F.col("hi") - F.col("lo") + 1) * F.lit(share)).cast("bigint")
     return (
-        _with_limits(windows, keys)
+        _with_limits(windows, bounds(windows, keys) if limits is None else limits, keys)
         .withColumn("is_validation", (F.col("bucket_id") > F.col("hi") - held).cast("int"))
         .drop("lo", "hi")
     )
 
 
-def _with_limits(series: DataFrame, keys: Sequence[str]) -> DataFrame:
-    limits = bounds(series, keys)
+def _with_limits(series: DataFrame, limits: DataFrame, keys: Sequence[str]) -> DataFrame:
     if keys:
         return series.join(limits, [*keys], "left")
     both = limits.select(F.struct("lo", "hi")).scalar()

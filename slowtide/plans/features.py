@@ -107,10 +107,20 @@ def add_features(
         full = full.join(full.groupBy(*keys).agg(F.percentile("RAM", 0.8).alias("_ram")), [*keys], "left")
         cpu_limit, ram_limit = F.col("_cpu"), F.col("_ram")
     else:
-        first = exact_quantiles(filled, {"median": (F.col("_seen"), [0.5]), "cpu": (zero_cpu, [0.8])})
-        full = filled.withColumn("RAM", F.coalesce("RAM", F.lit(first["median"][0]).cast("double")))
-        cpu_limit = first["cpu"][0]
-        ram_limit = exact_quantiles(full, {"ram": (F.col("RAM"), [0.8])})["ram"][0]
+        found = exact_quantiles(
+            filled,
+            {
+                "median": (F.col("_seen"), [0.5]),
+                "cpu": (zero_cpu, [0.8]),
+                "ram": (F.col("RAM"), [0.8]),
+                "any_gap": (F.col("RAM").isNull().cast("int"), [1.0]),
+            },
+        )
+        full = filled.withColumn("RAM", F.coalesce("RAM", F.lit(found["median"][0]).cast("double")))
+        cpu_limit, ram_limit = found["cpu"][0], found["ram"][0]
+        if found["any_gap"][0]:
+            # The series starts without RAM, so the median fill shifts its quantile.
+            ram_limit = exact_quantiles(full, {"ram": (F.col("RAM"), [0.8])})["ram"][0]
     hour = F.hour("bucket")
     ready = full.withColumns(
         {

@@ -28,17 +28,18 @@ def health_report(
         F.lit(None).cast("double").alias("hours_old"),
     )
     checks = data.unionByName(activity).unionByName(model)
-    overall = quality.roll_up(checks, strict)
-    # Three rows of one value each.
+    # Three rows become one.
     numbers = checks.groupBy().pivot("component", ["data", "model", "predictions"]).agg(
         F.first("status").alias("status"), F.first("amount").alias("amount"), F.first("hours_old").alias("hours_old")
     )
+    statuses = F.array("data_status", "model_status", "predictions_status")
     return numbers.select(
-        F.col("data_status"),
+        "data_status",
         F.col("data_amount").cast("bigint").alias("records"),
         F.col("data_hours_old").alias("hours_old"),
-        F.col("model_status"),
+        "model_status",
         F.col("model_amount").cast("bigint").alias("model_age_days"),
-        F.col("predictions_status"),
+        "predictions_status",
         F.col("predictions_amount").cast("bigint").alias("recent_predictions"),
-    ).withColumn("overall_status", overall.select("overall_status").scalar())
+        quality.overall_status(statuses, strict).alias("overall_status"),
+    )

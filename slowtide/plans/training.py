@@ -14,7 +14,7 @@ from slowtide import schemas
 from slowtide.functions import flags
 from slowtide.operators import evaluation
 from slowtide.operators.columns import available_features
-from slowtide.operators.sequences import Scaler, class_weight_column, fit_scaler, latest_window, sequences
+from slowtide.operators.sequences import Scaler, class_weight_column, fit_scaler, latest_window, sequence_limits, sequences
 from slowtide.operators.slices import split_ordered
 from slowtide.session import durable
 
@@ -54,7 +54,8 @@ def train(
     features = available_features(series, features)
     base = durable(series.select("bucket_id", "bucket", *features, "target"))
     scaler = fit_scaler(base, features, window, fit_on)
-    windows = _vector(split_ordered(sequences(scaler.apply(base), features, window=window)))
+    cut = sequences(scaler.apply(base), features, window=window)
+    windows = _vector(split_ordered(cut, schemas.VALIDATION_SHARE, limits=sequence_limits(base, window)))
     # The windows are cut once; every training iteration re-reads them.
     ready = durable(windows.select("bucket_id", "label", "is_validation", "inputs"))
     fitting, held = ready.where("is_validation = 0"), ready.where("is_validation = 1")
