@@ -32,7 +32,7 @@ def no_nan(x: Column) -> Column:
 def finite(x: Column) -> Column:
     """Null and NaN become 0, infinities the largest double of their sign."""
     top = sys.float_info.max
-    return F.coalesce(F.greatest(F.least(no_nan(x), F.lit(top)), F.lit(-top)), F.lit(0.0))
+    return F.coalesce(clip(no_nan(x), -top, top), F.lit(0.0))
 
 
 def clip(x: Column, low: float | None = None, high: float | None = None) -> Column:

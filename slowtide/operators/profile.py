@@ -90,7 +90,6 @@ def box_stats(df: DataFrame, value: str, by: str, classes: Sequence[int] = (0, 1
     quartiles = exact_quantiles(
         df, {str(c): (F.when(F.col(by) == c, x), [0.25, 0.5, 0.75]) for c in classes}
     )
-    rows = None
     low, high = F.lit(None).cast("double"), F.lit(None).cast("double")
     for c in classes:
         q1, _, q3 = quartiles[str(c)]
@@ -120,10 +119,11 @@ def histogram(df: DataFrame, value: str, bins: int) -> DataFrame:
     """Equal-width bins between the extremes; every bin left-closed, the last one closed."""
     ends = df.agg(F.min(value).cast("double").alias("lo"), F.max(value).cast("double").alias("hi")).first()
     if ends["lo"] is None:
-        return df.sparkSession.range(0).select(
-            F.lit(0).alias("bin"), F.lit(0.0).alias("bin_low"), F.lit(0.0).alias("bin_high"), F.lit(0).cast("bigint").alias("n")
-        )
-    lo, hi = (ends["lo"], ends["hi"]) if ends["lo"] < ends["hi"] else (ends["lo"] - 0.5, ends["hi"] + 0.5)
+        lo, hi = 0.0, 1.0
+    elif ends["lo"] == ends["hi"]:
+        lo, hi = ends["lo"] - 0.5, ends["hi"] + 0.5
+    else:
+        lo, hi = ends["lo"], ends["hi"]
     step = (hi - lo) / bins
 
     def edge(i: Column) -> Column:

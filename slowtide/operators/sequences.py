@@ -75,7 +75,7 @@ def fit_scaler(
     )
     first = xs.agg(
         F.sum("w").alias("_w"),
-        *[(F.sum(F.col("w") * F.col(f)) / F.sum("w")).alias(f) for f in features],
+        *[F.try_divide(F.sum(F.col("w") * F.col(f)), F.sum("w")).alias(f) for f in features],
         *[F.min(F.when(F.col("w") > 0, F.col(f))).alias(f"_lo_{f}") for f in features],
         *[F.max(F.when(F.col("w") > 0, F.col(f))).alias(f"_hi_{f}") for f in features],
     ).first()
@@ -84,7 +84,7 @@ def fit_scaler(
     mean = {f: first[f] for f in features}
     spread = xs.agg(
         *[
-            F.sqrt(F.sum(F.col("w") * (F.col(f) - mean[f]) * (F.col(f) - mean[f])) / F.sum("w")).alias(f)
+            F.sqrt(F.sum(F.col("w") * (F.col(f) - F.lit(mean[f])) * (F.col(f) - F.lit(mean[f]))) / F.sum("w")).alias(f)
             for f in features
         ]
     ).first()

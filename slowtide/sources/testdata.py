@@ -25,8 +25,8 @@ def _lookup(key: Column, values: dict[str, int]) -> Column:
 
 
 def load_percent(props: Column) -> Column:
-    """The integer 0–99 carried in the JSON text of an event."""
-    return F.get_json_object(props, "$.k").try_cast("int")
+    """The integer 0–99 in the flat JSON text of an event; a pattern reads it faster than a JSON parser."""
+    return F.regexp_extract(props, r'"k":\s*(\d+)', 1).try_cast("int")
 
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
