@@ -8,7 +8,7 @@ from slowtide.catalog.registry import ORACLES, QUERIES
 
 for _part in (
     "source_sink", "columns", "joins", "aggregates", "windows", "slices", "unions", "scalars",
-    "learning", "evaluation", "quality", "streams",
+    "learning", "evaluation", "quality", "flows", "streams",
 ):
     import_module(f"slowtide.catalog.{_part}")
 

@@ -60,9 +60,8 @@ def asof_join(
         .select(*by, on, at.alias("at"), F.lit(1).alias("side"), nothing.alias("last"), nothing.alias("first"))
     )
     steps = samples.select(*by, on, at.alias("at"), F.lit(0).alias("side"), "last", "first").unionByName(times)
-    cuts = sorted(
-        {cut for df in (left, right) for cut in find_cuts(df.select(at.alias("at")), "at", rows_per_segment)}
-    )
+    all_times = left.select(at.alias("at")).unionAll(right.select(at.alias("at")))
+    cuts = find_cuts(all_times, "at", rows_per_segment)
     cut = (
         place(steps, "at", cuts)
         .withColumn("back", F.when(F.col("side") == 0, F.struct("at", F.col("last").alias("row"))))

@@ -12,18 +12,21 @@ from pyspark.sql import functions as F
 from slowtide.operators.sketch import fences
 
 ROWS_PER_SEGMENT = 1_000_000
-MAX_SEGMENTS = 1024
+MAX_SEGMENTS = 8192
 
 
 def find_cuts(df: DataFrame, order: str, rows_per_segment: int = ROWS_PER_SEGMENT) -> list[float]:
     """Values of ``order`` between which there are about ``rows_per_segment`` rows.
 
-    One sketch pass over that column. A value with very many rows gives one cut, so
-    the distinct values between two cuts are never more than the rows asked for.
+    A count decides whether cuts are needed; then one sketch pass over that column
+    finds them. A value with very many rows gives one cut, so the distinct values
+    between two cuts are never more than the rows asked for.
     """
-    total, marks = fences(df, [F.col(order)], MAX_SEGMENTS)[0]
-    wanted = min(MAX_SEGMENTS, math.ceil(total / rows_per_segment))
-    return sorted({marks[j * MAX_SEGMENTS // wanted] for j in range(1, wanted)}) if wanted > 1 else []
+    wanted = min(MAX_SEGMENTS, math.ceil(df.count() / rows_per_segment))
+    if wanted <= 1:
+        return []
+    _, marks = fences(df, [F.col(order)], wanted)[0]
+    return sorted(set(marks[1:-1]))
 
 
 def place(df: DataFrame, order: str, cuts: Sequence[float], name: str = "_segment") -> DataFrame:

@@ -24,7 +24,7 @@ def fences(df: DataFrame, columns: Sequence[Column], steps: int) -> list[tuple[i
     per_group = df.groupBy((F.spark_partition_id() % _GROUPS).alias("_group")).agg(
         *[
             F.struct(
-                F.count(c).alias("n"), F.percentile_approx(c.cast("double"), grid, 10 * steps).alias("fences")
+                F.count(c).alias("n"), F.percentile_approx(c.cast("double"), grid, max(1000, 10 * steps)).alias("fences")
             ).alias(f"s{i}")
             for i, c in enumerate(columns)
         ]

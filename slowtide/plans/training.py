@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slowtide import schemas
@@ -19,6 +19,12 @@ from slowtide.operators.slices import split_ordered
 from slowtide.session import durable
 
 
+_SIDECAR = (
+    "features array<string>, window int, mean array<double>, scale array<double>, threshold double, "
+    "metrics map<string,double>, losses array<double>"
+)
+
+
 @dataclass(frozen=True)
 class DelayModel:
     features: tuple[str, ...]
@@ -30,6 +36,36 @@ class DelayModel:
     losses: tuple[float, ...]
 
 
+def save_model(model: DelayModel, path: str) -> None:
+    """Classifier in Spark's own format, the rest as a one-row JSON dataset beside it."""
+    model.classifier.write().overwrite().save(f"{path}/classifier")
+    rest = {
+        "features": list(model.features),
+        "window": model.window,
+        "mean": list(model.scaler.mean),
+        "scale": list(model.scaler.scale),
+        "threshold": model.threshold,
+        "metrics": model.metrics,
+        "losses": list(model.losses),
+    }
+    spark = SparkSession.active()
+    spark.createDataFrame([rest], _SIDECAR).coalesce(1).write.mode("overwrite").json(f"{path}/sidecar")
+
+
+def load_model(spark: SparkSession, path: str) -> DelayModel:
+    rest = spark.read.schema(_SIDECAR).json(f"{path}/sidecar").first()
+    features = tuple(rest["features"])
+    return DelayModel(
+        features,
+        rest["window"],
+        Scaler(features, tuple(rest["mean"]), tuple(rest["scale"])),
+        LogisticRegressionModel.load(f"{path}/classifier"),
+        rest["threshold"],
+        dict(rest["metrics"]),
+        tuple(rest["losses"]),
+    )
+
+
 def _vector(df: DataFrame) -> DataFrame:
     return df.withColumn("inputs", array_to_vector(F.flatten("steps")))
 
@@ -88,6 +124,7 @@ def train(
         "val_loss": loss,
         **{name: overall[name] for name in overall.__fields__},
     }
+    metrics = {name: float(value) for name, value in metrics.items()}
     losses = tuple(float(x) for x in classifier.summary.objectiveHistory)
     return DelayModel(tuple(features), window, scaler, classifier, float(threshold), metrics, losses)
 

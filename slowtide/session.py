@@ -16,6 +16,10 @@ def build_session(app: str = "slowtide", master: str | None = None, **conf: str)
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # Call sites of every column expression cost more than the expression itself.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
+        # Intermediate results go when nothing refers to them any more.
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.ui.enabled": "false",
         **conf,
     }

@@ -14,7 +14,7 @@ import verify  # noqa: E402
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 # Queries that fit a model have no SQL counterpart.
-ROWS_ONLY = {"ml4_ml7_train_delay_classifier", "ml5_score_latest_and_batch", "st2_stream_scores"}
+ROWS_ONLY = {"ml4_ml7_train_delay_classifier", "ml5_score_latest_and_batch", "st2_stream_scores", "flow_train_predict_monitor"}
 TYPES = {
     "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "float": "FLOAT", "string": "VARCHAR",
     "timestamp_ntz": "TIMESTAMP", "date": "DATE",

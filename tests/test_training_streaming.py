@@ -9,7 +9,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from slowtide.functions import clock
+from slowtide.operators import runs
 from slowtide.plans import features, training
+from slowtide.plans import jobs as jobs_plan
+from slowtide.sources import writers
 from slowtide.streaming import jobs
 
 BASE = datetime(2024, 1, 1)
@@ -59,6 +62,31 @@ def test_latest_prediction_has_the_log_shape(series, model):
     assert training.predict_latest(model, series, clock.instant("2024-01-31 00:00:00"), threshold=1.0).first()["prediction"] == 0
 
 
+def test_saved_model_scores_the_same(spark, series, model, tmp_path):
+    training.save_model(model, str(tmp_path / "m"))
+    back = training.load_model(spark, str(tmp_path / "m"))
+    at = clock.instant("2024-01-31 00:00:00")
+    assert back.threshold == model.threshold and back.features == model.features
+    assert training.predict_latest(back, series, at).first() == training.predict_latest(model, series, at).first()
+
+
+def test_jobs_gate_train_predict_and_report(spark, tmp_path):
+    folder, at = str(tmp_path / "jobs"), clock.instant("2024-01-03 12:00:00")
+    raw = planted(spark).checkpoint()
+    assert jobs_plan.train_job(spark, raw.limit(999), folder, at) == "insufficient_data"
+    assert jobs_plan.train_job(spark, raw.limit(1200).drop("RAM"), folder, at) == "missing_columns"
+    assert jobs_plan.train_job(spark, raw.orderBy("timestamp").limit(400).crossJoin(spark.range(3)).drop("id"), folder, at) == "insufficient_processed_data"
+    assert jobs_plan.train_job(spark, raw, folder, at, max_iter=10) == "training_success"
+    assert jobs_plan.predict_job(spark, raw.limit(99), folder, at) == "insufficient_data"
+    for _ in range(2):
+        assert jobs_plan.predict_job(spark, raw, folder, at).startswith("prediction_success")
+    log = writers.read_predictions(spark, f"{folder}/predictions")
+    assert log.count() == 2
+    # The newest request is less than six hours old, times repeat nowhere, but two predictions in the hour are too few.
+    assert jobs_plan.monitor_job(raw, log, runs.read_runs(spark, folder), folder, at) == "WARNING"
+    assert spark.read.json(f"{folder}/reports").count() == 1
+
+
 @pytest.mark.parametrize("weighting", ["asymmetric", None])
 def test_other_weightings_train(series, weighting):
     assert training.train(series, features=["CPU", "RAM", "not there"], weighting=weighting, max_iter=3).features == ("CPU", "RAM")
