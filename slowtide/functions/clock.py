@@ -40,6 +40,15 @@ def bucket_start(bucket_id: Column, step: int) -> Column:
     return _epoch() + bucket_id * F.expr(f"INTERVAL '{step}' SECOND")
 
 
+def as_instant(ts: Column) -> Column:
+    """Zoned timestamp whose UTC reading is the wall clock, for operators that need one."""
+    return F.timestamp_micros(epoch_micros(ts))
+
+
+def from_instant(at: Column) -> Column:
+    return _epoch() + F.unix_micros(at) * F.expr("INTERVAL '0.000001' SECOND")
+
+
 def day_of_week(ts: Column) -> Column:
     """Monday = 0 … Sunday = 6."""
     return F.weekday(ts)

@@ -30,10 +30,10 @@ def read_stream(spark: SparkSession, folder: str, schema: T.StructType, name: st
 
 
 def _windowed(stream: DataFrame, step: int, lateness: str, measures: Mapping[str, Column]) -> DataFrame:
-    # A watermark needs a zoned timestamp; with the session in UTC the wall clock is kept.
-    timed = stream.withColumn("_at", F.col("timestamp").cast("timestamp")).withWatermark("_at", lateness)
+    # A watermark needs a zoned timestamp; the wall clock is read as UTC whatever the session's zone.
+    timed = stream.withColumn("_at", clock.as_instant(F.col("timestamp"))).withWatermark("_at", lateness)
     grouped = timed.groupBy(F.window("_at", f"{step} seconds")).agg(*[m.alias(name) for name, m in measures.items()])
-    return grouped.select(F.col("window.start").cast("timestamp_ntz").alias("bucket"), *measures)
+    return grouped.select(clock.from_instant(F.col("window.start")).alias("bucket"), *measures)
 
 
 def stream_series(requests: DataFrame, step: int = schemas.BUCKET_SECONDS, lateness: str = LATENESS) -> DataFrame:
