@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slowtide import schemas
-from slowtide.catalog.registry import now, query, rounded
+from slowtide.catalog.registry import now, plain, query, rounded
 from slowtide.functions import clock
 from slowtide.operators import columns, evaluation
 from slowtide.plans.features import enrich
@@ -52,7 +52,7 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
               request_path_depth, endpoint_base, service, is_error, is_success, is_peak_hour, "CPU", "RAM" FROM enriched""",
 )
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    return columns.keep_present(enrich(requests(spark, sf)), schemas.FINAL_COLUMNS)
+    return plain(columns.keep_present(enrich(requests(spark, sf)), schemas.FINAL_COLUMNS))
 
 
 @query(
@@ -61,7 +61,7 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
               request_path_depth, endpoint_base, service, is_error, is_success, is_peak_hour, "CPU", "RAM" FROM enriched""",
 )
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    return columns.keep_strict(enrich(requests(spark, sf)), schemas.COMMON_COLUMNS)
+    return plain(columns.keep_strict(enrich(requests(spark, sf)), schemas.COMMON_COLUMNS))
 
 
 @query(

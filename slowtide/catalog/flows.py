@@ -7,7 +7,7 @@ from datetime import timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slowtide.catalog.registry import now, query
+from slowtide.catalog.registry import now, plain, query
 from slowtide.functions import clock
 from slowtide.operators import runs
 from slowtide.plans import jobs
@@ -30,7 +30,7 @@ from slowtide.sources.testdata import host_samples, requests, server_log
                          CASE WHEN ahead_us IS NULL OR back_us <= ahead_us THEN b.cpu_percent ELSE a.cpu_percent END AS c,
                          CASE WHEN ahead_us IS NULL OR back_us <= ahead_us THEN b.ram_percent ELSE a.ram_percent END AS r
                   FROM b JOIN a USING (event_id))
-       SELECT event_id, CAST(t AS DATE) AS date, strftime(t, '%H:%M:%S') AS time, server_ip, method, url, site, client_ip, status_code, response_time,
+       SELECT event_id, strftime(t, '%Y-%m-%d') AS date, strftime(t, '%H:%M:%S') AS time, server_ip, method, url, site, client_ip, status_code, response_time,
               t AS "timestamp", CAST(hour(t) AS INTEGER) AS hour, CAST(isodow(t) - 1 AS INTEGER) AS day_of_week,
               CAST(length(url) - length(replace(url, '/', '')) AS INTEGER) AS request_path_depth, split_part(url, '/', -1) AS endpoint_base, 'api' AS service,
               CASE WHEN status_code >= 400 THEN 1 ELSE 0 END AS is_error, CASE WHEN status_code >= 200 AND status_code < 400 THEN 1 ELSE 0 END AS is_success,
@@ -41,7 +41,7 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     samples = host_samples(spark, sf).select(
         clock.shift_zone(F.col("timestamp")).alias("timestamp"), "cpu_percent", "ram_percent"
     )
-    return jobs.merge_server_log(server_log(spark, sf), samples, timedelta(seconds=300), extra=("event_id",))
+    return plain(jobs.merge_server_log(server_log(spark, sf), samples, timedelta(seconds=300), extra=("event_id",)))
 
 
 @query("flow_train_predict_monitor")

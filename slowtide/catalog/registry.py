@@ -40,6 +40,12 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.withColumns(new) if new else df
 
 
+def plain(df: DataFrame) -> DataFrame:
+    """Dates as text, which every client shows alike."""
+    new = {c: F.col(c).cast("string") for c, t in df.dtypes if t == "date"}
+    return df.withColumns(new) if new else df
+
+
 # Each view may use the ones above it.
 VIEWS: dict[str, str] = {
     "ev": """SELECT *, CAST(regexp_extract(props, '([0-9]+)', 1) AS INTEGER) AS k FROM events""",
@@ -79,7 +85,7 @@ VIEWS: dict[str, str] = {
     "urls": "SELECT page_id, CASE WHEN page_id % 10 <> 0 THEN url END AS url FROM pages",
     "enriched": """
         SELECT *, CASE WHEN response_time > 2000 THEN 1 ELSE 0 END AS "Delay_Detected",
-               CAST("timestamp" AS DATE) AS date, strftime("timestamp", '%H:%M:%S') AS time,
+               strftime("timestamp", '%Y-%m-%d') AS date, strftime("timestamp", '%H:%M:%S') AS time,
                CAST(hour("timestamp") AS INTEGER) AS hour, CAST(isodow("timestamp") - 1 AS INTEGER) AS day_of_week,
                CAST(length(coalesce(url, '')) - length(replace(coalesce(url, ''), '/', '')) AS INTEGER) AS request_path_depth,
                split_part(coalesce(url, ''), '/', -1) AS endpoint_base, 'api' AS service,
@@ -87,7 +93,7 @@ VIEWS: dict[str, str] = {
                CASE WHEN hour("timestamp") >= 9 AND hour("timestamp") < 18 THEN 1 ELSE 0 END AS is_peak_hour
         FROM requests""",
     "w3c_enriched": """
-        SELECT *, CAST("timestamp" AS DATE) AS date, strftime("timestamp", '%H:%M:%S') AS time,
+        SELECT *, strftime("timestamp", '%Y-%m-%d') AS date, strftime("timestamp", '%H:%M:%S') AS time,
                CAST(hour("timestamp") AS INTEGER) AS hour, CAST(isodow("timestamp") - 1 AS INTEGER) AS day_of_week,
                CAST(length(url) - length(replace(url, '/', '')) AS INTEGER) AS request_path_depth,
                split_part(url, '/', -1) AS endpoint_base, 'w3c' AS service,

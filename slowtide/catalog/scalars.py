@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slowtide import schemas
-from slowtide.catalog.registry import query, rounded
+from slowtide.catalog.registry import plain, query, rounded
 from slowtide.functions import clock, flags
 from slowtide.operators.quality import clean
 from slowtide.operators.quantiles import exact_quantiles
@@ -64,13 +64,15 @@ _PARTS = ", ".join(
 
 @query(
     "fn5_calendar_parts",
-    f"""SELECT event_id, CAST(t AS DATE) AS date, {_PARTS}
+    f"""SELECT event_id, strftime(t, '%Y-%m-%d') AS date, {_PARTS}
         FROM (SELECT event_id, CASE WHEN "CPU" IS NOT NULL THEN "timestamp" END AS t FROM requests)""",
 )
 def _(spark: SparkSession, sf: str) -> DataFrame:
     ts = F.when(F.col("CPU").isNotNull(), F.col("timestamp"))
     parts = clock.calendar_parts(ts, missing=0)
-    return requests(spark, sf).select("event_id", F.to_date(ts).alias("date"), *[c.alias(n) for n, c in parts.items()])
+    return plain(
+        requests(spark, sf).select("event_id", F.to_date(ts).alias("date"), *[c.alias(n) for n, c in parts.items()])
+    )
 
 
 @query("fn6_time_text", """SELECT event_id, strftime("timestamp", '%H:%M:%S') AS time_only FROM requests""")
@@ -174,7 +176,9 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     """SELECT event_id, "Delay_Detected", date, time, hour, day_of_week, request_path_depth, endpoint_base, service, is_error, is_success, is_peak_hour FROM enriched""",
 )
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    return features.enrich(requests(spark, sf)).select(
-        "event_id", "Delay_Detected", "date", "time", "hour", "day_of_week", "request_path_depth", "endpoint_base",
-        "service", "is_error", "is_success", "is_peak_hour",
+    return plain(
+        features.enrich(requests(spark, sf)).select(
+            "event_id", "Delay_Detected", "date", "time", "hour", "day_of_week", "request_path_depth", "endpoint_base",
+            "service", "is_error", "is_success", "is_peak_hour",
+        )
     )

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slowtide import schemas
-from slowtide.catalog.registry import query
+from slowtide.catalog.registry import plain, query
 from slowtide.operators import columns, unions
 from slowtide.plans.features import enrich, flag_delays
 from slowtide.sources.testdata import requests, server_log, w3c_log
@@ -30,12 +30,12 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 @query("set2_union_strict_schema", f"SELECT {_COMMON} FROM w3c_enriched UNION ALL SELECT {_COMMON} FROM enriched")
 def _(spark: SparkSession, sf: str) -> DataFrame:
     merged = unions.union_strict(_w3c_common(spark, sf), enrich(requests(spark, sf)), schemas.COMMON_COLUMNS)
-    return merged.orderBy("timestamp", "url")
+    return plain(merged).orderBy("timestamp", "url")
 
 
 @query(
     "set3_union_target_schema",
-    """SELECT NULL::DATE AS date, NULL::VARCHAR AS time, cs_method AS method, cs_uri_stem AS url, s_ip AS site, c_ip AS client_ip, sc_status AS status_code,
+    """SELECT NULL::VARCHAR AS date, NULL::VARCHAR AS time, cs_method AS method, cs_uri_stem AS url, s_ip AS site, c_ip AS client_ip, sc_status AS status_code,
               time_taken AS response_time, TRY_CAST(CASE WHEN log_id % 17 = 0 THEN 'unknown' ELSE strftime(datetime, '%Y-%m-%d %H:%M:%S') END AS TIMESTAMP) AS "timestamp",
               NULL::INTEGER AS hour, NULL::INTEGER AS day_of_week, NULL::INTEGER AS request_path_depth, NULL::VARCHAR AS endpoint_base,
               NULL::VARCHAR AS service, NULL::INTEGER AS is_error, NULL::INTEGER AS is_success, NULL::INTEGER AS is_peak_hour,
@@ -46,7 +46,7 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 def _(spark: SparkSession, sf: str) -> DataFrame:
     text = F.when(F.col("log_id") % 17 == 0, "unknown").otherwise(F.date_format("datetime", "yyyy-MM-dd HH:mm:ss"))
     first = w3c_log(spark, sf).withColumn("datetime", text).withColumnsRenamed(schemas.W3C_TO_SITE)
-    return unions.union_on_schema(first, requests(spark, sf), schemas.COMMON_TYPES)
+    return plain(unions.union_on_schema(first, requests(spark, sf), schemas.COMMON_TYPES))
 
 
 @query(

@@ -128,7 +128,7 @@ def prediction_activity(df: DataFrame, now: Column, ts: str = "timestamp", per_h
         return df.agg(F.lit("invalid_predictions_format").alias("status"), F.count("*").alias("total_count"))
     day = F.col(ts) >= now - clock.seconds(24 * 3600)
     hour = F.col(ts) >= now - clock.seconds(3600)
-    p = F.col("probability")
+    p = F.col("probability") if "probability" in df.columns else F.lit(None).cast("double")
     per_day = 24 * per_hour
     counted = df.agg(
         F.count("*").alias("total_count"),

@@ -51,16 +51,14 @@ def exact_quantiles(
     """Linear-interpolated quantiles of each expression, nulls and NaN skipped.
 
     ``targets`` maps a name to (expression, probabilities). Only counts, fences and
-    the resulting order statistics reach the driver. A table of at most
-    ``in_one_sort`` rows is sorted without fences.
+    the resulting order statistics reach the driver. A column of at most
+    ``in_one_sort`` distinct values is sorted without fences.
     """
     jobs = [
         _Target(name, F.when(~F.isnan(expr.cast("double")), expr.cast("double")), list(ps))
         for name, (expr, ps) in targets.items()
     ]
     xs = df.select(*[t.expr.alias(f"x{i}") for i, t in enumerate(jobs)])
-    if df.count() <= in_one_sort:
-        return _sort_whole(xs, jobs)
     first = xs.agg(
         *[
             F.struct(
@@ -71,7 +69,7 @@ def exact_quantiles(
             ).alias(f"s{i}")
             for i in range(len(jobs))
         ]
-    ).first()
+    ).collect()[0]
     wanted: dict[tuple[int, int], _Rank] = {}
     for i, t in enumerate(jobs):
         s = first[f"s{i}"]
@@ -98,33 +96,6 @@ def _interpolate(found: dict[tuple[int, int], float], i: int, n: int, p: float)
     return low + (high - low) * (position - math.floor(position))
 
 
-def _sort_whole(xs: DataFrame, jobs: list[_Target]) -> dict[str, list[float | None]]:
-    """All order statistics from one sort per column; for tables of a checked size."""
-    stacked = F.array(*[F.struct(F.lit(i).alias("g"), F.col(f"x{i}").alias("x")) for i in range(len(jobs))])
-    counted = xs.select(F.inline(stacked)).where(F.col("x").isNotNull()).groupBy("g", "x").agg(F.count("*").alias("n"))
-    group = Window.partitionBy("g")
-    last = F.col("total") - 1
-    wanted = F.lit(False)
-    for i, t in enumerate(jobs):
-        for p in sorted(set(t.probabilities)):
-            for rank in (F.floor(last * F.lit(float(p))), F.ceil(last * F.lit(float(p)))):
-                wanted = wanted | ((F.col("g") == i) & (rank >= F.col("upto") - F.col("n")) & (rank < F.col("upto")))
-    rows = (
-        counted.withColumn("upto", F.sum("n").over(group.orderBy("x").rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn("total", F.sum("n").over(group))
-        .where(wanted)
-        .collect()
-    )
-    found: dict[tuple[int, int], float] = {}
-    for r in rows:
-        jobs[r["g"]].n = r["total"]
-        for p in jobs[r["g"]].probabilities:
-            for rank in (math.floor(p * (r["total"] - 1)), math.ceil(p * (r["total"] - 1))):
-                if r["upto"] - r["n"] <= rank < r["upto"]:
-                    found[r["g"], rank] = r["x"]
-    return {t.name: [_interpolate(found, i, t.n, p) for p in t.probabilities] for i, t in enumerate(jobs)}
-
-
 def _between(i: int, r: _Rank) -> Column:
     x = F.col(f"x{i}")
     return F.when((x >= F.lit(r.low)) & (x <= F.lit(r.high)), x)
@@ -150,7 +121,7 @@ def _narrow(xs: DataFrame, ranks: dict[tuple[int, int], _Rank]) -> None:
             ).alias(f"c{n}")
             for n, ((i, _), (low, high)) in enumerate(zip(keys, proposals))
         ]
-    ).first()
+    ).collect()[0]
     for n, key in enumerate(keys):
         r, c, (low, high) = ranks[key], counts[f"c{n}"], proposals[n]
         proven = c["below"] <= r.rank < c["below"] + c["inside"]

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from slowtide.sources.readers import read_or_empty
+
 RUNS = T.StructType(
     [
         T.StructField("run_id", T.StringType()),
@@ -53,11 +55,11 @@ def log_history(
 
 
 def read_runs(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(RUNS).parquet(f"{path}/runs")
+    return read_or_empty(spark, f"{path}/runs", RUNS)
 
 
 def read_history(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(HISTORY).parquet(f"{path}/run_history")
+    return read_or_empty(spark, f"{path}/run_history", HISTORY)
 
 
 def best_run(runs: DataFrame, metric: str = "final_f1") -> DataFrame:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slowtide import schemas
-from slowtide.sources.readers import NTZ_FORMAT
+from slowtide.sources.readers import NTZ_FORMAT, read_or_empty
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -27,7 +29,17 @@ def append_predictions(df: DataFrame, path: str) -> None:
 
 
 def read_predictions(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.PREDICTIONS).parquet(path)
+    return read_or_empty(spark, path, schemas.PREDICTIONS)
+
+
+def save_results(df: DataFrame, kind: str, options: Mapping[str, str]) -> None:
+    """Append predictions by configuration: ``parquet`` or ``jdbc``."""
+    if kind == "parquet":
+        append_predictions(df, options["path"])
+    elif kind == "jdbc":
+        as_predictions(df).write.mode("append").format("jdbc").options(**{"dbtable": "predictions", **options}).save()
+    else:
+        raise ValueError(f"unknown sink kind: {kind}")
 
 
 def write_split(tagged: DataFrame, train_path: str, holdout_path: str) -> None:

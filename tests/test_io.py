@@ -32,6 +32,14 @@ def test_jdbc_options():
         readers.jdbc_options("jdbc:x", partition_column="datetime")
 
 
+def test_results_go_where_the_configuration_says(spark, tmp_path):
+    row = spark.createDataFrame([(datetime(2024, 1, 1), 1, 0.9, "High")], schemas.PREDICTIONS)
+    writers.save_results(row, "parquet", {"path": str(tmp_path / "p")})
+    assert writers.read_predictions(spark, str(tmp_path / "p")).count() == 1
+    with pytest.raises(ValueError, match="unknown sink"):
+        writers.save_results(row, "pigeon", {})
+
+
 def test_unknown_source_is_refused(spark):
     with pytest.raises(ValueError, match="unknown source"):
         readers.load(spark, "carrier pigeon", {})

@@ -97,6 +97,11 @@ def test_activity_ladder(spark, minutes, status):
     assert quality.prediction_activity(predictions(spark, minutes), now()).first()["status"] == status
 
 
+def test_activity_without_probability(spark):
+    row = quality.prediction_activity(predictions(spark, [5, 100]).drop("probability"), now()).first()
+    assert row["recent_count"] == 2 and row["avg_probability"] is None and row["delay_prediction_rate"] == 50.0
+
+
 def test_activity_without_time_column(spark):
     row = quality.prediction_activity(predictions(spark, [1]).drop("timestamp"), now()).first()
     assert row["status"] == "invalid_predictions_format" and row["total_count"] == 1

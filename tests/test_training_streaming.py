@@ -73,6 +73,8 @@ def test_saved_model_scores_the_same(spark, series, model, tmp_path):
 def test_jobs_gate_train_predict_and_report(spark, tmp_path):
     folder, at = str(tmp_path / "jobs"), clock.instant("2024-01-03 12:00:00")
     raw = planted(spark).checkpoint()
+    assert jobs_plan.predict_job(spark, raw, folder, at) == "no_model"
+    assert writers.read_predictions(spark, f"{folder}/predictions").count() == 0
     assert jobs_plan.train_job(spark, raw.limit(999), folder, at) == "insufficient_data"
     assert jobs_plan.train_job(spark, raw.limit(1200).drop("RAM"), folder, at) == "missing_columns"
     assert jobs_plan.train_job(spark, raw.orderBy("timestamp").limit(400).crossJoin(spark.range(3)).drop("id"), folder, at) == "insufficient_processed_data"
