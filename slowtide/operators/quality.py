@@ -22,6 +22,15 @@ OVERLOOKED = [
     "no_predictions", "disk_nearly_full",
 ]
 
+# Texts of the issues.
+MISSING_COLUMNS = "Missing columns: "
+INVALID_VALUES = ("Invalid ", " values: ", " records")
+NEGATIVE_TIMES = ("Negative response times: ", " records")
+HIGH_NULLS = ("High null percentage in: [", "]")
+MANY_NULLS = "Too many missing values in "
+DUPLICATE_TIMES = "Duplicate timestamps: "
+STALE = ("Data is stale: ", " hours old")
+
 
 def _issues(*texts: Column) -> Column:
     return F.filter(F.array(*texts), lambda text: text.isNotNull())
@@ -45,15 +54,15 @@ def validate(df: DataFrame, required: Sequence[str] = schemas.REQUIRED_TO_VALIDA
     gone = missing(df, required)
     share = {c: F.try_divide(F.col(f"null_{c}"), F.col("n")) for c in have}
     sparse = F.concat_ws(", ", *[F.when(share[c] > 0.1, F.lit(f"'{c}'")) for c in have])
-    texts = [F.lit(f"Missing columns: {gone}") if gone else F.lit(None).cast("string")]
+    texts = [F.lit(f"{MISSING_COLUMNS}{gone}") if gone else F.lit(None).cast("string")]
     for c in ("CPU", "RAM"):
         if c in have:
-            texts.append(_message(F.col(f"bad_{c}") > 0, f"Invalid {c} values: ", F.col(f"bad_{c}"), " records"))
+            before, middle, after = INVALID_VALUES
+            texts.append(_message(F.col(f"bad_{c}") > 0, f"{before}{c}{middle}", F.col(f"bad_{c}"), after))
     if negative:
-        texts.append(
-            _message(F.col("bad_response_time") > 0, "Negative response times: ", F.col("bad_response_time"), " records")
-        )
-    texts.append(_message(F.length(sparse) > 0, "High null percentage in: [", sparse, "]"))
+        bad = F.col("bad_response_time")
+        texts.append(_message(bad > 0, NEGATIVE_TIMES[0], bad, NEGATIVE_TIMES[1]))
+    texts.append(_message(F.length(sparse) > 0, HIGH_NULLS[0], sparse, HIGH_NULLS[1]))
     pairs = [part for c in have for part in (F.lit(c), share[c])]
     return counted.select(
         F.col("n").alias("total_records"),
@@ -100,15 +109,15 @@ def data_health(
     gone = missing(df, required)
     hours = F.col("hours_old")
     issues = _issues(
-        F.lit(f"Missing columns: {gone}") if gone else F.lit(None).cast("string"),
+        F.lit(f"{MISSING_COLUMNS}{gone}") if gone else F.lit(None).cast("string"),
         *[
             _message(
-                F.col(f"null_{c}") > F.col("records") * F.lit(0.1), f"Too many missing values in {c}: ", F.col(f"null_{c}")
+                F.col(f"null_{c}") > F.col("records") * F.lit(0.1), f"{MANY_NULLS}{c}: ", F.col(f"null_{c}")
             )
             for c in checked
         ],
-        _message(F.col("duplicates") > 0, "Duplicate timestamps: ", F.col("duplicates")),
-        _message(hours > 6, "Data is stale: ", F.format_string("%.1f", hours), " hours old"),
+        _message(F.col("duplicates") > 0, DUPLICATE_TIMES, F.col("duplicates")),
+        _message(hours > 6, STALE[0], F.format_string("%.1f", hours), STALE[1]),
     )
     status = (
         F.when(F.col("records") == 0, "no_data")

@@ -118,3 +118,30 @@ def test_no_pairwise_join_in_the_plan(spark):
     l = spark.range(1000).select(F.col("id").cast("int"), (F.lit(BASE).cast("timestamp_ntz") + F.col("id") * F.expr("INTERVAL '1' SECOND")).alias("t"))
     plan = asof_join(l, l.withColumnRenamed("id", "n"), "t", rows_per_segment=100)._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan and "SinglePartition" not in plan.split("Window")[0]
+
+
+def test_hot_time_is_split_in_the_last_join(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "40",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128KB",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        second = F.when(F.col("id") % 3 == 0, F.lit(77)).otherwise(F.col("id") % 5000)
+        left = spark.range(0, 120_000, 1, 8).select(
+            "id", F.sha2(F.col("id").cast("string"), 256).alias("payload"),
+            (F.lit(BASE).cast("timestamp_ntz") + second * F.expr("INTERVAL '1' SECOND")).alias("t"),
+        )
+        right = spark.range(5000).select(
+            F.col("id").alias("n"), (F.lit(BASE).cast("timestamp_ntz") + F.col("id") * F.expr("INTERVAL '1' SECOND")).alias("t")
+        )
+        done = asof_join(left, right, "t").selectExpr("count(*) AS rows", "max(hash(id, payload, n)) AS h")
+        assert done.collect()[0]["rows"] == 120_000
+        assert "skew=true" in done._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
