@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slowtide.llm.common import stored, text_slices
+from slowtide.llm.common import bit_filter, stored, text_slices
 from slowtide.llm.tokenizer import Encoder
 from slowtide.llm.words import mixed
 
@@ -69,8 +69,8 @@ def _digests(column: pa.Array) -> Iterator[list[tuple[bytes, bytes]]]:
             yield out
 
 
-def _bit(digest: bytes, bits: int) -> int:
-    return int.from_bytes(digest[:8], "little") >> (64 - bits)
+def _number(digest: bytes) -> int:
+    return int.from_bytes(digest[:8], "little", signed=True)
 
 
 class Joiner:
@@ -185,17 +185,12 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, outputs: list[str], c
     source = docs.select(*named, F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     kept = source.columns[:-1]
     again = source.select("text").mapInArrow(_digest_counts, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).filter("n > 1")
-    bit = F.shiftrightunsigned("h", 64 - filter_bits)
-    words = again.select(F.shiftright(bit, 6).alias("word"), F.expr("1L").alias("one"), bit.bitwiseAND(63).cast("int").alias("at"))
-    found = words.groupBy("word").agg(F.expr("bit_or(shiftleft(one, at))").alias("bits")).toArrow()
-    seen = np.zeros(1 << (filter_bits - 6), dtype=np.int64)
-    seen[found["word"].to_numpy()] = found["bits"].to_numpy()
-    told = spark.sparkContext.broadcast(seen)
+    told = spark.sparkContext.broadcast(bit_filter(again, "h", filter_bits))
 
     carried = ", ".join(f"{c} {t}" for c, t in source.dtypes[:-1])
     asked = ", ".join(f"{c} {OUTPUTS[c]}" for c in outputs)
     first = stored(
-        source.mapInArrow(_encode_or_cut(tokenizer_path, outputs, kept, told, filter_bits), f"{carried}, row long, part int, digest binary, text string, {asked}"),
+        source.mapInArrow(_encode_or_cut(tokenizer_path, outputs, kept, told), f"{carried}, row long, part int, digest binary, text string, {asked}"),
         "bpe-parts",
     )
     pending = first.filter("part IS NOT NULL")
@@ -235,12 +230,12 @@ def decode_documents(encoded: DataFrame, tokenizer_path: str, carry: list[str],
 
 def _digest_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found = [int.from_bytes(d[:8], "little", signed=True) for chunks in _digests(batch["text"]) for d, _ in chunks]
+        found = [_number(d) for chunks in _digests(batch["text"]) for d, _ in chunks]
         h, n = np.unique(np.array(found, dtype=np.int64), return_counts=True)
         yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(n.astype(np.int64))], ["h", "n"])
 
 
-def _encode_or_cut(path: str, outputs: list[str], kept: list[str], told, bits: int):
+def _encode_or_cut(path: str, outputs: list[str], kept: list[str], told):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
@@ -248,11 +243,11 @@ def _encode_or_cut(path: str, outputs: list[str], kept: list[str], told, bits: i
         results, sent = None, set()
         for batch in batches:
             if results is None:
-                results, seen = _Results(Encoder(path), outputs), told.value
+                results = _Results(Encoder(path), outputs)
             rows: list[tuple] = []
             none = [None] * len(outputs)
             for k, (text, chunks) in enumerate(zip(batch["text"], _digests(batch["text"]), strict=True)):
-                hits = [(at := _bit(d, bits), int(seen[at >> 6]) >> (at & 63) & 1)[1] for d, _ in chunks]
+                hits = told.value.has(np.array([_number(d) for d, _ in chunks], dtype=np.int64)).tolist()
                 if not any(hits):
                     rows.append((k, None, None, None, None, *results.of(results.encoder.encode(text.as_py()))))
                     continue

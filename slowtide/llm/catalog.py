@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slowtide.llm import bpe, chat, fingerprint, language, lines, mixing, neardup, tokencount
+from slowtide.llm import bpe, chat, fingerprint, language, lines, mixing, neardup, substrings, tokencount
 from slowtide.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -106,6 +106,11 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+@query("op8_substring_dedup")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(table(spark, sf_dir, "documents"), ["n_words", "n_removed", "kept_sha256"])
+
+
 LINES_SQL = f"""
 WITH pages AS (SELECT source, count(*) AS n FROM documents WHERE source IS NOT NULL GROUP BY source),
 seen AS (SELECT source, unnest(list_distinct(string_split(text, chr(10)))) AS line FROM documents WHERE source IS NOT NULL AND text IS NOT NULL),

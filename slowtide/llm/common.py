@@ -51,3 +51,28 @@ def text_slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[in
         last = min(last, n)
         yield first, flat[ends[first] : ends[last]], ends[first : last + 1] - ends[first]
         first = last
+
+
+class BitFilter:
+    """A set of 64-bit hashes in a fixed number of bits: never misses a member, may take others for one."""
+
+    def __init__(self, bits: int, words: np.ndarray) -> None:
+        self.bits, self.words = bits, words
+
+    def has(self, hashes: np.ndarray) -> np.ndarray:
+        at = hashes.view(np.uint64) >> np.uint64(64 - self.bits)
+        return (self.words[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) != 0
+
+    @property
+    def empty(self) -> bool:
+        return not self.words.any()
+
+
+def bit_filter(hashes: DataFrame, column: str, bits: int) -> BitFilter:
+    """Filter over a column of longs. Its size, and so what reaches the driver, is 2^bits bits whatever the input."""
+    bit = F.shiftrightunsigned(column, 64 - bits)
+    words = hashes.select(F.shiftright(bit, 6).alias("word"), bit.bitwiseAND(63).cast("int").alias("at"))
+    found = words.groupBy("word").agg(F.expr("bit_or(shiftleft(1L, at))").alias("bits")).toArrow()
+    out = np.zeros(1 << (bits - 6), dtype=np.uint64)
+    out[found["word"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
+    return BitFilter(bits, out)
