@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slowtide.llm import bpe, chat, fingerprint, language, lines, mixing, neardup, substrings, tokencount
+from slowtide.llm import bpe, chat, fingerprint, jaccard, language, lines, mixing, neardup, substrings, tokencount
 from slowtide.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,11 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
+@query("op1_jaccard_join")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"), num=90, den=100, words=3)
+
+
 @query("op2_bpe_round_trip")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"), tokenizer_path(), ["n_tokens", "ids_sha256", "decoded_sha256"], ["doc_id"])

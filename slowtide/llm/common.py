@@ -76,3 +76,32 @@ def bit_filter(hashes: DataFrame, column: str, bits: int) -> BitFilter:
     out = np.zeros(1 << (bits - 6), dtype=np.uint64)
     out[found["word"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
     return BitFilter(bits, out)
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Tables of complete groups, and where each group begins and ends, from batches sorted by ``keys``.
+
+    Only the last group of a batch is carried into the next one, so groups must be of bounded size.
+    """
+    kept: pa.Table | None = None
+
+    def changes(t: pa.Table) -> np.ndarray:
+        new = np.zeros(max(t.num_rows - 1, 0), dtype=bool)
+        for k in keys:
+            x = t[k].to_numpy()
+            new |= x[1:] != x[:-1]
+        return np.flatnonzero(new) + 1
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        t = pa.Table.from_batches([batch])
+        t = t if kept is None else pa.concat_tables([kept, t])
+        edges = changes(t)
+        if not len(edges):
+            kept = t
+            continue
+        yield t.slice(0, edges[-1]).combine_chunks(), np.concatenate([[0], edges])
+        kept = t.slice(edges[-1])
+    if kept is not None:
+        yield kept.combine_chunks(), np.array([0, kept.num_rows])

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slowtide.llm.common import stored
+from slowtide.llm.common import stored, whole_groups
 from slowtide.llm.components import components
 from slowtide.llm.words import mixed
 
@@ -212,41 +212,20 @@ def _compare_cells(cosine: float, settings: dict):
         to = [int(c[t]) if (t := top(x)) != x else None for x in some.tolist()]
         return pa.RecordBatch.from_arrays([pa.array(c[some]), pa.array(n[some].astype(np.int64)), pa.array(to, pa.int64())], ["c", "links", "to"])
 
-    def cells(table: pa.Table, machines: dict) -> Iterator[pa.RecordBatch]:
-        table = table.combine_chunks()
-        code, i, j = (table[k].to_numpy() for k in ("code", "i", "j"))
-        edges = np.flatnonzero((code[1:] != code[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
-        edges = np.concatenate([[0], edges, [len(code)]])
-        c, size, block = (table[k].to_numpy() for k in ("c", "size", "block"))
-        own = table["own"].to_numpy().astype(bool)
-        column = table["v"].combine_chunks()
-        widths = np.zeros(len(code), dtype=np.int64)
-        matrices = {}
-        for at, matrix in _matrices(column):
-            matrices[matrix.shape[1]] = whole = np.zeros((len(code), matrix.shape[1]))
-            whole[at] = unit_rows(matrix)
-            widths[at] = matrix.shape[1]
-        for x, y in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-            if y - x > 1:
-                out = links(c[x:y], size[x:y], own[x:y], block[x:y], matrices[widths[x]][x:y], int(code[x]), int(i[x]), int(j[x]), machines)
-                if out is not None:
-                    yield out
-
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machines: dict[int, CrossPolytope] = {}
-        open_rows: pa.Table | None = None
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            table = table if open_rows is None else pa.concat_tables([open_rows, table])
-            code, i, j = (table[k].to_numpy() for k in ("code", "i", "j"))
-            if not len(code):
-                continue
-            # The last cell may go on in the next batch; it has at most some hundred rows.
-            last = np.flatnonzero((code != code[-1]) | (i != i[-1]) | (j != j[-1]))
-            cut = int(last[-1]) + 1 if len(last) else 0
-            yield from cells(table.slice(0, cut), machines) if cut else ()
-            open_rows = table.slice(cut)
-        if open_rows is not None:
-            yield from cells(open_rows, machines)
+        for table, edges in whole_groups(batches, ["code", "i", "j"]):
+            code, i, j, c, size, block = (table[k].to_numpy() for k in ("code", "i", "j", "c", "size", "block"))
+            own = table["own"].to_numpy().astype(bool)
+            units, widths = {}, np.zeros(len(code), dtype=np.int64)
+            for at, matrix in _matrices(table["v"].combine_chunks()):
+                units[matrix.shape[1]] = whole = np.zeros((len(code), matrix.shape[1]))
+                whole[at] = unit_rows(matrix)
+                widths[at] = matrix.shape[1]
+            for x, y in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+                if y - x > 1:
+                    out = links(c[x:y], size[x:y], own[x:y], block[x:y], units[widths[x]][x:y], int(code[x]), int(i[x]), int(j[x]), machines)
+                    if out is not None:
+                        yield out
 
     return work
