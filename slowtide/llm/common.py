@@ -54,14 +54,22 @@ def text_slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[in
 
 
 class BitFilter:
-    """A set of 64-bit hashes in a fixed number of bits: never misses a member, may take others for one."""
+    """A set of 64-bit hashes in a fixed number of bits, three for each: never misses a member, may take others for one."""
 
     def __init__(self, bits: int, words: np.ndarray) -> None:
         self.bits, self.words = bits, words
 
+    @staticmethod
+    def shifts(bits: int) -> list[int]:
+        """Where in a hash its three places are read."""
+        return [64 - bits, (64 - bits) // 2, 0]
+
     def has(self, hashes: np.ndarray) -> np.ndarray:
-        at = hashes.view(np.uint64) >> np.uint64(64 - self.bits)
-        return (self.words[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) != 0
+        found = np.ones(len(hashes), dtype=bool)
+        for shift in self.shifts(self.bits):
+            at = hashes.view(np.uint64) >> np.uint64(shift) & np.uint64((1 << self.bits) - 1)
+            found &= (self.words[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) != 0
+        return found
 
     @property
     def empty(self) -> bool:
@@ -70,8 +78,8 @@ class BitFilter:
 
 def bit_filter(hashes: DataFrame, column: str, bits: int) -> BitFilter:
     """Filter over a column of longs. Its size, and so what reaches the driver, is 2^bits bits whatever the input."""
-    bit = F.shiftrightunsigned(column, 64 - bits)
-    words = hashes.select(F.shiftright(bit, 6).alias("word"), bit.bitwiseAND(63).cast("int").alias("at"))
+    places = F.array(*(F.shiftrightunsigned(column, s).bitwiseAND(F.lit((1 << bits) - 1).cast("long")) for s in BitFilter.shifts(bits)))
+    words = hashes.select(F.explode(places).alias("bit")).select(F.shiftright("bit", 6).alias("word"), F.col("bit").bitwiseAND(63).cast("int").alias("at"))
     found = words.groupBy("word").agg(F.expr("bit_or(shiftleft(1L, at))").alias("bits")).toArrow()
     out = np.zeros(1 << (bits - 6), dtype=np.uint64)
     out[found["word"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)

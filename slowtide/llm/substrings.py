@@ -216,12 +216,14 @@ def _finish_or_mark(window: int, filters, outputs: list[str]):
         row = TaskContext.get().partitionId() << 40
         scan = _Scan(window, [f.value for f in filters])
         empty = np.zeros(0, dtype=np.int64)
+        kinds = [pa.int64(), pa.int64(), pa.string(), pa.list_(pa.int64()), pa.list_(pa.int64()), *(_TYPES[c] for c in outputs)]
         for batch in batches:
             ids, texts = batch["doc_id"].to_pylist(), batch["text"]
-            rows = []
+            # A slice of texts at a time goes on, so a task holds the places of one slice.
             for first, bounds, runs in scan.slices(texts):
                 text, place, h = scan.found(bounds, runs) if len(filters) == 3 and not filters[2].value.empty else (empty, empty, empty)
                 edges = np.searchsorted(text, np.arange(len(bounds)))
+                rows = []
                 for k in range(len(bounds) - 1):
                     a, b = edges[k], edges[k + 1]
                     value = texts[first + k].as_py() or ""
@@ -230,9 +232,8 @@ def _finish_or_mark(window: int, filters, outputs: list[str]):
                     else:
                         row += 1
                         rows.append((ids[first + k], row, value, place[a:b] - bounds[k], h[a:b], *[None] * len(outputs)))
-            kinds = [pa.int64(), pa.int64(), pa.string(), pa.list_(pa.int64()), pa.list_(pa.int64()), *(_TYPES[c] for c in outputs)]
-            columns = [pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "row", "text", "places", "hashes", *outputs])
+                columns = [pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "row", "text", "places", "hashes", *outputs])
 
     return work
 
