@@ -13,8 +13,8 @@ Lower levels, in tasks. The points of a cell are packed into a tree of tiles wit
 per coordinate; pairs of tiles whose summed minima cannot reach the overlap are dropped whole, and
 the pairs of points that are left are verified on their shingle sets.
 
-Links that only repeat what is known are not sought: first each document meets one document of its
-cells, then only pairs of different components meet within a cell.
+Links that only repeat what is known are not sought: first each document meets its neighbours in its
+cells, then only pairs of different components meet within a cell, in the first cell they share.
 """
 
 from __future__ import annotations
@@ -177,12 +177,17 @@ def jaccard_components(
     schema = "doc_id long, n_shingles long, key long, cells array<long>, point binary, shingles binary"
     points = stored(source.mapInArrow(_points(bands, words, told), schema), "jaccard-points")
     sets = stored(points.filter("point IS NOT NULL").select("key", "n_shingles", "cells", "point", "shingles").dropDuplicates(["key"]), "jaccard-sets")
-    members = stored(sets.select("key", F.explode("cells").alias("cell")).join(cells, "cell").select("cell", "key", "least"), "jaccard-members")
-
-    first = members.filter("key != least").groupBy("key").agg(F.min("least").alias("other"))
-    links = stored(_verified(first.select(F.col("key").alias("a"), F.col("other").alias("b")), sets, bands), "jaccard-links")
+    members = stored(sets.select("key", F.explode("cells").alias("cell")).join(cells, "cell", "left_semi"), "jaccard-members")
+
+    facts = sets.select("key", "n_shingles", "point", "cells")
+    # First neighbours only, in an order that differs from cell to cell: few pairs, which join most of a large group.
+    sized = members.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    dealt = members.join(sized, "cell").select("cell", "key", F.pmod(F.xxhash64("key", "cell"), "blocks").cast("int").alias("block"), F.xxhash64("cell", "key").alias("turn"))
+    ordered = dealt.join(facts.drop("cells"), "key").repartition("cell", "block").sortWithinPartitions("cell", "block", "turn")
+    links = stored(_verified(ordered.mapInArrow(_neighbours(bands), "a long, b long").distinct(), sets, bands), "jaccard-links")
     graph = components(links)
-    known = sets.select("key", "n_shingles", "point").join(graph, F.col("key") == F.col("node"), "left").select("key", F.coalesce("root", "key").alias("part"), "n_shingles", "point")
+    # Then all pairs of a cell whose documents are not joined yet.
+    known = facts.join(graph, F.col("key") == F.col("node"), "left").select("key", F.coalesce("root", "key").alias("part"), "n_shingles", "point", "cells")
     placed = members.join(known.select("key", "part"), "key")
     mixed_cells = placed.groupBy("cell").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count("*").alias("n")).filter("low < high")
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
@@ -191,8 +196,7 @@ def jaccard_components(
         "cell", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "key"
     )
     ordered = spread.join(known, "key").repartition("cell", "i", "j").sortWithinPartitions("cell", "i", "j")
-    found = ordered.mapInArrow(_candidates(bands), "a long, b long").distinct()
-    more = _verified(found, sets, bands)
+    more = _verified(ordered.mapInArrow(_candidates(bands), "a long, b long"), sets, bands)
     graph = components(links.unionByName(more))
 
     roots = points.filter("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("least"))
@@ -270,23 +274,52 @@ def _points(bands: Bands, words: int, told):
     return work
 
 
+def _counts(column: pa.Array, begin: int, end: int) -> np.ndarray:
+    return np.frombuffer(b"".join(p.as_py() for p in column[begin:end]), "<u4").reshape(end - begin, -1)
+
+
+def _neighbours(bands: Bands):
+    """Pairs of neighbours in a block of a cell whose summed minima reach the least overlap."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, edges in whole_groups(batches, ["cell", "block"]):
+            key, size = table["key"].to_numpy(), table["n_shingles"].to_numpy()
+            inner = np.ones(len(key), dtype=bool)
+            inner[edges[:-1]] = False
+            at = np.flatnonzero(inner)
+            if not len(at):
+                continue
+            points = _counts(table["point"].combine_chunks(), 0, len(key))
+            reach = np.concatenate([np.minimum(points[p], points[p - 1]).sum(axis=1, dtype=np.int64) for p in np.array_split(at, len(at) // 4096 + 1)])
+            at = at[reach >= bands.least_overlap(size[at] + size[at - 1])]
+            pairs = np.unique(np.stack([np.maximum(key[at], key[at - 1]), np.minimum(key[at], key[at - 1])], axis=1), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+
+    return work
+
+
 def _candidates(bands: Bands):
+    """Pairs of different parts in a cell, from its tiles; each pair in the smallest of the cells that both have."""
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, edges in whole_groups(batches, ["cell", "i", "j"]):
-            i, j, block, key, part, size = (table[c].to_numpy() for c in ("i", "j", "block", "key", "part", "n_shingles"))
-            counts = table["point"]
+            cell, i, j, block, key, part, size = (table[c].to_numpy() for c in ("cell", "i", "j", "block", "key", "part", "n_shingles"))
+            counts, cells = table["point"].combine_chunks(), table["cells"].combine_chunks()
             for x, y in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
                 if y - x < 2 or (part[x:y] == part[x]).all():
                     continue
-                points = np.frombuffer(b"".join(p.as_py() for p in counts.slice(x, y - x)), "<u4").reshape(y - x, -1)
+                points = _counts(counts, x, y)
                 left, right = np.flatnonzero(block[x:y] == i[x]), np.flatnonzero(block[x:y] == j[x])
                 if not len(left) or not len(right):
                     continue
                 a, b = tree_join(Tree(points[left], size[x:y][left]), Tree(points[right], size[x:y][right]), bands)
                 a, b = left[a] + x, right[b] + x
                 keep = part[a] != part[b]
-                a, b = key[a[keep]], key[b[keep]]
-                pairs = np.unique(np.stack([np.maximum(a, b), np.minimum(a, b)], axis=1), axis=0)
-                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+                if i[x] == j[x]:
+                    keep &= a < b
+                a, b = a[keep], b[keep]
+                own = {k: cells[k].values.to_numpy() for k in np.unique(np.concatenate([a, b])).tolist()}
+                first = np.array([np.intersect1d(own[p], own[q]).min() == cell[x] for p, q in zip(a.tolist(), b.tolist(), strict=True)], dtype=bool)
+                yield pa.RecordBatch.from_arrays([pa.array(key[a[first]]), pa.array(key[b[first]])], ["a", "b"])
 
     return work
