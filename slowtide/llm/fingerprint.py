@@ -67,7 +67,7 @@ def as_text(a: Column) -> Column:
 
 
 def with_next(docs: DataFrame, order_col: str, values: dict[str, Column], tie_col: str) -> DataFrame:
-    """``docs`` with each of ``values`` and its value in the next row as ``next_<name>``; the last row's next is the first row.
+    """``docs`` with each of ``values``, and in ``next_<name>`` its value and that of ``tie_col`` in the next row; the last row's next is the first row.
 
     Rows are in order of ``order_col`` (whole numbers, nulls first) and of ``tie_col`` where equal. No
     window over all rows: quantiles cut them in ranges, four per shuffle partition, and each range
@@ -80,13 +80,14 @@ def with_next(docs: DataFrame, order_col: str, values: dict[str, Column], tie_co
     least = spread.groupBy("_range").agg(F.min(F.coalesce(F.col(order_col), F.lit(-(1 << 63)))).alias("_least"))
     before = Window.orderBy("_range")  # one row per range
     target = least.select("_range", "_least", F.coalesce(F.lag("_range").over(before), F.max("_range").over(Window.partitionBy())).alias("_to"))
-    heads = spread.join(target, (spread["_range"] == target["_range"]) & (F.coalesce(spread[order_col], F.lit(-(1 << 63))) == target["_least"]))
+    # One row per range, so at most four per shuffle partition and one more.
+    heads = spread.join(F.broadcast(target), (spread["_range"] == target["_range"]) & (F.coalesce(spread[order_col], F.lit(-(1 << 63))) == target["_least"]))
     top = F.row_number().over(Window.partitionBy("_to").orderBy(F.col(order_col).asc_nulls_first(), F.col(tie_col).asc_nulls_first()))
     heads = heads.withColumn("_top", top).filter("_top = 1").select(*docs.columns, F.col("_to").alias("_range"))
     rows = spread.withColumn("_copied", F.lit(False)).unionByName(heads.withColumn("_copied", F.lit(True)))
     rows = rows.select("*", *(v.alias(k) for k, v in values.items()))
     within = Window.partitionBy("_range").orderBy("_copied", F.col(order_col).asc_nulls_first(), F.col(tie_col).asc_nulls_first())
-    return rows.select("*", *(F.lead(k).over(within).alias(f"next_{k}") for k in values)).filter("NOT _copied").drop("_copied", "_range")
+    return rows.select("*", *(F.lead(k).over(within).alias(f"next_{k}") for k in (tie_col, *values))).filter("NOT _copied").drop("_copied", "_range")
 
 
 def _place(value: Column, cuts: list[int]) -> Column:
@@ -106,10 +107,10 @@ def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     ignored. A table of one row is its own next; rows with equal ids follow each other by text.
     """
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    rows = with_next(own, "doc_id", {"whole": F.col("text"), "sketch": sketch(F.col("text"), size, words)}, "text")
+    rows = with_next(own, "doc_id", {"sketch": sketch(F.col("text"), size, words)}, "text")
     chars = F.char_length("text")
     half = (chars / 2).cast("int")
-    edited = F.concat(F.col("text").substr(F.lit(1), chars - half), F.col("next_whole").substr(F.lit(1), half))
+    edited = F.concat(F.col("text").substr(F.lit(1), chars - half), F.col("next_text").substr(F.lit(1), half))
     rows = rows.select("doc_id", chars.cast("long").alias("n_chars"), edited.alias("edited"), "sketch", "next_sketch")
     rows = rows.withColumn("edited_sketch", sketch(F.col("edited"), size, words))
     return rows.select(
