@@ -48,8 +48,8 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 def _(spark: SparkSession, sf: str) -> DataFrame:
     """Train, predict and monitor over one folder; a row per job with its status."""
     folder = fresh_folder(spark, "jobs")
-    raw = durable(requests(spark, sf))
-    statuses = [("train", jobs.train_job(spark, raw, folder, now(), max_iter=5))]
+    raw = requests(spark, sf)
+    statuses = [("train", jobs.train_job(spark, raw, folder, now()))]
     if statuses[0][1].startswith("training_success"):
         statuses.append(("predict", jobs.predict_job(spark, raw, folder, now())))
         log = writers.read_predictions(spark, f"{folder}/predictions")

@@ -119,7 +119,7 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 def _(spark: SparkSession, sf: str) -> DataFrame:
     """Scores of all windows by label, and the prediction for the newest one."""
     series = durable(features.feature_series(requests(spark, sf)))
-    model = training.train(series, max_iter=5)
+    model = training.train(series)
     batch = training.score(model, series).groupBy(F.concat(F.lit("label "), F.col("label").cast("string")).alias("part")).agg(
         F.count("*").alias("n"), F.avg("probability").alias("probability"), F.sum("predicted_label").alias("positives")
     )

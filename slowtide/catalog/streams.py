@@ -14,7 +14,7 @@ from slowtide.streaming import jobs
 
 
 def request_stream(spark: SparkSession, sf: str) -> DataFrame:
-    return as_requests(jobs.read_stream(spark, sf, schemas.EVENTS, "events.parquet"))
+    return as_requests(jobs.read_stream(spark, f"{sf}/events.parquet", schemas.EVENTS))
 
 
 _CLOSED = """{end} <= (SELECT max("timestamp") - INTERVAL 10 MINUTE FROM requests)"""
@@ -48,7 +48,7 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 @query("st2_stream_scores")
 def _(spark: SparkSession, sf: str) -> DataFrame:
     """A model trained on the history scores the stream's newest closed window."""
-    model = training.train(durable(features.feature_series(requests(spark, sf))), max_iter=5)
+    model = training.train(durable(features.feature_series(requests(spark, sf))))
     folder = fresh_folder(spark, "stream-scores")
     jobs.run_scoring(request_stream(spark, sf), model, folder)
     return spark.read.parquet(f"{folder}/predictions").drop("batch")

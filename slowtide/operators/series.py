@@ -77,17 +77,12 @@ def resample(
     step: int = 300,
     ts: str = "timestamp",
     keys: Sequence[str] = (),
-    keep: bool = False,
 ) -> DataFrame:
     """Gap-free series of buckets of ``step`` seconds; ``sum`` of an empty bucket is 0.
 
-    Lazily, the limits come from a second pass over the time column alone. With
-    ``keep`` the bucket table (small beside the input) is written once, and the
-    input is read once whatever follows.
+    The bucket table (small beside the input) is written once, so the input is read once
+    whatever follows.
     """
     buckets = bucket_aggregate(df, aggs, step, ts, keys)
     zero = [out for out, (fn, _) in aggs.items() if fn == "sum"]
-    if keep:
-        return fill_gaps(durable(buckets), step, keys, zero)
-    ids = df.where(F.col(ts).isNotNull()).select(*keys, clock.bucket_of(F.col(ts), step).alias("bucket_id"))
-    return fill_gaps(buckets, step, keys, zero, bounds(ids, keys))
+    return fill_gaps(durable(buckets), step, keys, zero)

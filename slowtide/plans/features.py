@@ -72,9 +72,9 @@ def enrich(requests: DataFrame, service: str = "api") -> DataFrame:
     )
 
 
-def health_series(requests: DataFrame, keys: Sequence[str] = (), step: int = schemas.BUCKET_SECONDS, keep: bool = False) -> DataFrame:
+def health_series(requests: DataFrame, keys: Sequence[str] = (), step: int = schemas.BUCKET_SECONDS) -> DataFrame:
     """Gap-free series: any delay, any error, mean response time, CPU and RAM."""
-    return resample(flag_delays(requests), HEALTH_AGGS, step, keys=keys, keep=keep)
+    return resample(flag_delays(requests), HEALTH_AGGS, step, keys=keys)
 
 
 def feature_series(
@@ -85,7 +85,7 @@ def feature_series(
     step: int = schemas.BUCKET_SECONDS,
 ) -> DataFrame:
     """The full feature table of the delay model, straight from requests."""
-    return add_features(health_series(requests, keys, step, keep=True), keys, horizon, lags)
+    return add_features(health_series(requests, keys, step), keys, horizon, lags)
 
 
 def add_features(
@@ -163,9 +163,9 @@ def add_features(
     )
 
 
-def count_series(requests: DataFrame, step: int, keys: Sequence[str] = (), keep: bool = False) -> DataFrame:
+def count_series(requests: DataFrame, step: int, keys: Sequence[str] = ()) -> DataFrame:
     """Gap-free series of delay and error counts with mean load and status."""
-    return resample(flag_delays(requests), COUNT_AGGS, step, keys=keys, keep=keep)
+    return resample(flag_delays(requests), COUNT_AGGS, step, keys=keys)
 
 
 def count_features(
@@ -177,7 +177,7 @@ def count_features(
 ) -> DataFrame:
     """Feature table on delay counts, from rows with the database's column names."""
     flagged = flag_delays(sql_rows, column="time_taken")
-    series = resample(flagged, SQL_COUNT_AGGS, schemas.BUCKET_SECONDS, ts="datetime", keep=True)
+    series = resample(flagged, SQL_COUNT_AGGS, schemas.BUCKET_SECONDS, ts="datetime")
     errors = exact_quantiles(series, {"p90": (F.col("is_error"), [0.9])})["p90"][0]
 
     def looking(w: WindowSpec) -> dict[str, Column]:

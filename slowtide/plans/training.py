@@ -80,11 +80,11 @@ def train(
     window: int = schemas.WINDOW_BUCKETS,
     fit_on: str = "train",
     weighting: str | None = "balanced",
-    max_iter: int = 10,
+    max_iter: int = 100,
 ) -> DelayModel:
     """Logistic regression on flattened, standardised windows.
 
-    The last fifth of the windows validates; the threshold is the one with the best
+    Fits to the estimator's tolerance, in ``max_iter`` iterations at most. The last fifth of the windows validates; the threshold is the one with the best
     F1 there. ``weighting`` is ``balanced``, ``asymmetric`` (3 to 1) or None.
     """
     features = available_features(series, features)

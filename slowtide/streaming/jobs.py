@@ -7,6 +7,7 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from slowtide import schemas
 from slowtide.functions import clock, flags
@@ -19,14 +20,28 @@ LATENESS = "10 minutes"
 _FUNCTIONS = {"max": F.max, "mean": F.avg, "sum": F.sum}
 
 
-def read_stream(spark: SparkSession, folder: str, schema: T.StructType, name: str = "*.parquet", files_per_batch: int = 1000) -> DataFrame:
-    """New files of a folder as a stream."""
-    return (
-        spark.readStream.schema(schema)
-        .option("pathGlobFilter", name)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .parquet(folder)
-    )
+def read_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int | None = None) -> DataFrame:
+    """A parquet table as a stream: a folder with its new files, or one file.
+
+    All files that wait make one batch: files arrive in any order of event time, and rows older
+    than the watermark of the batches before are dropped. Set ``files_per_batch`` only where files
+    come in order of time.
+    """
+    reader = spark.readStream.schema(schema)
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.parquet(path)
+
+
+class LateRows(RuntimeError):
+    """Rows came after the watermark had passed them and were not counted."""
+
+
+def _finish(query: StreamingQuery, allow_late: bool) -> None:
+    query.awaitTermination()
+    late = sum(s.numRowsDroppedByWatermark for p in query.recentProgress for s in p.stateOperators)
+    if late and not allow_late:
+        raise LateRows(f"{late} grouped rows were older than the watermark; read more files per batch or allow them to be late")
 
 
 def _windowed(stream: DataFrame, step: int, lateness: str, measures: Mapping[str, Column]) -> DataFrame:
@@ -60,8 +75,8 @@ def stream_quality(requests: DataFrame, step: int = 3600, lateness: str = LATENE
     return _windowed(requests, step, lateness, measures)
 
 
-def run_available(stream: DataFrame, path: str) -> None:
-    """Process what has arrived and append the closed rows to a parquet table."""
+def run_available(stream: DataFrame, path: str, allow_late: bool = False) -> None:
+    """Process what has arrived and append the closed rows to a parquet table; fails on late rows unless allowed."""
     query = (
         stream.writeStream.outputMode("append")
         .format("parquet")
@@ -70,7 +85,7 @@ def run_available(stream: DataFrame, path: str) -> None:
         .trigger(availableNow=True)
         .start()
     )
-    query.awaitTermination()
+    _finish(query, allow_late)
 
 
 def score_batches(model: DelayModel, folder: str, step: int = schemas.BUCKET_SECONDS) -> Callable[[DataFrame, int], None]:
@@ -95,7 +110,7 @@ def score_batches(model: DelayModel, folder: str, step: int = schemas.BUCKET_SEC
     return handle
 
 
-def run_scoring(requests: DataFrame, model: DelayModel, folder: str, lateness: str = LATENESS) -> None:
+def run_scoring(requests: DataFrame, model: DelayModel, folder: str, lateness: str = LATENESS, allow_late: bool = False) -> None:
     query = (
         stream_series(requests, lateness=lateness)
         .writeStream.outputMode("append")
@@ -104,4 +119,4 @@ def run_scoring(requests: DataFrame, model: DelayModel, folder: str, lateness: s
         .trigger(availableNow=True)
         .start()
     )
-    query.awaitTermination()
+    _finish(query, allow_late)

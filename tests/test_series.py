@@ -53,10 +53,9 @@ def test_gap_case(spark):
 
 
 @pytest.mark.parametrize("step", [300, 600])
-@pytest.mark.parametrize("keep", [False, True])
-def test_resample_equals_pandas(spark, step, keep):
+def test_resample_equals_pandas(spark, step):
     pdf = irregular()
-    got = resample(to_spark(spark, pdf), AGGS, step, ts="t", keep=keep).orderBy("bucket_id").toPandas()
+    got = resample(to_spark(spark, pdf), AGGS, step, ts="t").orderBy("bucket_id").toPandas()
     want = pandas_resample(pdf, step)
     assert list(pd.to_datetime(got["bucket"])) == list(want.index)
     for c in want:
