@@ -69,6 +69,10 @@ def _digests(column: pa.Array) -> Iterator[list[tuple[bytes, bytes]]]:
             yield out
 
 
+#: Text after which a task hands on what it has.
+_FLUSH_BYTES = 4 << 20
+
+
 def _number(digest: bytes) -> int:
     return int.from_bytes(digest[:8], "little", signed=True)
 
@@ -241,12 +245,23 @@ def _encode_or_cut(path: str, outputs: list[str], kept: list[str], told):
 
         row = TaskContext.get().partitionId() << 40
         results, sent = None, set()
+        none = [None] * len(outputs)
+        kinds = [pa.int64(), pa.int32(), pa.binary(), pa.string(), *(_TYPES[OUTPUTS[c]] for c in outputs)]
+
+        def flush(batch: pa.RecordBatch, rows: list[tuple]) -> pa.RecordBatch:
+            of = pa.array([r[0] for r in rows], pa.int64())
+            columns = [batch[c].take(of) for c in kept] + [pa.array([r[k + 1] for r in rows], t) for k, t in enumerate(kinds)]
+            return pa.RecordBatch.from_arrays(columns, [*kept, "row", "part", "digest", "text", *outputs])
+
         for batch in batches:
-            if results is None:
-                results = _Results(Encoder(path), outputs)
+            results = results or _Results(Encoder(path), outputs)
             rows: list[tuple] = []
-            none = [None] * len(outputs)
+            size = 0
             for k, (text, chunks) in enumerate(zip(batch["text"], _digests(batch["text"]), strict=True)):
+                if size > _FLUSH_BYTES:
+                    yield flush(batch, rows)
+                    rows, size = [], 0
+                size += sum(len(data) for _, data in chunks)
                 hits = told.value.has(np.array([_number(d) for d, _ in chunks], dtype=np.int64)).tolist()
                 if not any(hits):
                     rows.append((k, None, None, None, None, *results.of(results.encoder.encode(text.as_py()))))
@@ -264,11 +279,7 @@ def _encode_or_cut(path: str, outputs: list[str], kept: list[str], told):
                     part += 1
                 if run:
                     rows.append((k, row, part, None, b"".join(run).decode(), *none))
-            of = pa.array([r[0] for r in rows], pa.int64())
-            columns = [batch[c].take(of) for c in kept]
-            kinds = ["long", "int", "binary", "string", *(OUTPUTS[c] for c in outputs)]
-            columns += [pa.array([r[k + 1] for r in rows], _TYPES[t]) for k, t in enumerate(kinds)]
-            yield pa.RecordBatch.from_arrays(columns, [*kept, "row", "part", "digest", "text", *outputs])
+            yield flush(batch, rows)
 
     return work
 
@@ -287,15 +298,17 @@ def _encode_chunks(path: str):
 def _join_parts(path: str, outputs: list[str], kept: list[str]):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         results = joiner = None
-        for batch in batches:
+        for whole in batches:
             if results is None:
                 results = _Results(Encoder(path), outputs)
                 joiner = Joiner(results.encoder)
-            rows = []
-            for parts in batch["parts"]:
-                own = [(p["text"], p["ids"]) for p in parts.as_py()]
-                rows.append(results.of(joiner.join([(t, results.encoder.encode(t) if ids is None else ids) for t, ids in own])))
-            columns = [pa.array([r[k] for r in rows], _TYPES[OUTPUTS[c]]) for k, c in enumerate(outputs)]
-            yield pa.RecordBatch.from_arrays([*(batch[c] for c in kept), *columns], [*kept, *outputs])
+            for begin in range(0, whole.num_rows, 256):
+                batch = whole.slice(begin, 256)
+                rows = []
+                for parts in batch["parts"]:
+                    own = [(p["text"], p["ids"]) for p in parts.as_py()]
+                    rows.append(results.of(joiner.join([(t, results.encoder.encode(t) if ids is None else ids) for t, ids in own])))
+                columns = [pa.array([r[k] for r in rows], _TYPES[OUTPUTS[c]]) for k, c in enumerate(outputs)]
+                yield pa.RecordBatch.from_arrays([*(batch[c] for c in kept), *columns], [*kept, *outputs])
 
     return work

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import os
 import re
 
 import numpy as np
@@ -22,6 +23,8 @@ class Splitter:
     """Special strings and pieces of texts for one tokenizer file."""
 
     def __init__(self, path: str) -> None:
+        # Spark runs a task per core; the library's own threads would only compete.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
@@ -74,14 +77,18 @@ class Encoder(Splitter):
     Distinct pieces go through the library once and are kept, ``most`` of them at a time.
     """
 
-    def __init__(self, path: str, most: int = 400_000) -> None:
+    def __init__(self, path: str, most: int = 150_000) -> None:
         super().__init__(path)
         self._known: dict[str, tuple[int, ...]] = {}
         self._most = most
+        self._joined = self.spec["decoder"] is None
+        del self.spec
         ids = self.library.get_vocab(with_added_tokens=True)
         self.strings = [""] * (max(ids.values(), default=-1) + 1)
         for s, i in ids.items():
             self.strings[i] = s
+        # One object per id, whatever refers to it.
+        self._ids = list(range(len(self.strings)))
 
     def encode(self, text: str) -> list[int]:
         if not self.plain(text):
@@ -94,12 +101,13 @@ class Encoder(Splitter):
             if len(known) > self._most:
                 known.clear()
             new = list({p for p in pieces if p not in known})
-            for p, e in zip(new, self.library.encode_batch(new, add_special_tokens=False), strict=True):
-                known[p] = tuple(e.ids)
+            own = self._ids
+            for p, e in zip(new, self.library.encode_batch_fast(new, add_special_tokens=False), strict=True):
+                known[p] = tuple([own[i] for i in e.ids])
             return [i for p in pieces for i in known[p]]
 
     def decode(self, ids: list[int]) -> str:
         """As the library's decode with special tokens kept; without a decoder that joins token strings by a space."""
-        if self.spec["decoder"] is not None:
+        if not self._joined:
             return self.library.decode(ids, skip_special_tokens=False)
         return " ".join(map(self.strings.__getitem__, ids))
