@@ -28,6 +28,11 @@ def read_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_
     come in order of time.
     """
     reader = spark.readStream.schema(schema)
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if files.exists(where) and files.getFileStatus(where).isFile():
+        # A stream needs a folder, so one file is the only one of its folder that it sees.
+        reader, path = reader.option("pathGlobFilter", where.getName()), where.getParent().toString()
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.parquet(path)
