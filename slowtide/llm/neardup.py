@@ -54,7 +54,8 @@ class CrossPolytope:
     """Bucket numbers of unit vectors; the same for the same seed."""
 
     def __init__(self, dims: int, tables: int, rotations: int, probes: int = PROBES, seed: int = 11) -> None:
-        self.width = 1 << max(1, (dims - 1).bit_length())
+        # Wide enough for the corners that are looked into.
+        self.width = 1 << max(probes.bit_length(), (dims - 1).bit_length())
         self.tables, self.rotations, self.probes = tables, rotations, probes
         self.signs = np.random.default_rng(seed).choice([-1.0, 1.0], size=(tables, rotations, 3, self.width))
 
