@@ -3,11 +3,11 @@
 A document's word shingles are hashed into groups, and the counts per group are a point. Two sets
 share at most the sum, over the coordinates, of the smaller count, which bounds their overlap.
 
-Upper levels of the tree, as join keys. Sizes are cut in bands so that a pair lies in one band or in
-two neighbouring ones. For a band the groups are dealt to one block of coordinates more than a
-linked pair can have differing shingles: each differing shingle touches one block, so such a
-pair has equal counts in one block at least. A cell is one block with its counts; documents of one
-cell are candidates, and no linked pair is without a common cell.
+Upper level of the tree, as join keys. In any one order of all shingles, sets above the threshold
+share one of their first shingles: as many as a linked set may miss, and one more. A cell holds the
+documents with one such shingle; no linked pair is without a common cell. The order is
+that of the hashes, but shingles that are frequent where they are read come last, so cells stay
+small; which ones count as frequent changes the cost, not the links.
 
 Lower levels, in tasks. The points of a cell are packed into a tree of tiles with the largest count
 per coordinate; pairs of tiles whose summed minima cannot reach the overlap are dropped whole, and
@@ -27,55 +27,33 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slowtide.llm.common import bit_filter, stored, text_slices, whole_groups
+from slowtide.llm.common import BitFilter, bit_filter, stored, text_slices, whole_groups
 from slowtide.llm.components import components
-from slowtide.llm.words import Hasher, mixed
+from slowtide.llm.words import Hasher
 
 SHINGLE_WORDS, NUMERATOR, DENOMINATOR = 5, 80, 100
 GROUPS = 256
 FILTER_BITS = 25
 #: Points of a cell that meet in a task at a time, and entries of a tile.
 BLOCK, FANOUT = 512, 16
-_MARKS = mixed(np.arange(1, GROUPS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+#: Documents of one batch that make a shingle frequent.
+FREQUENT = 16
 
 
-class Bands:
-    """Size bands, and the blocks of coordinates that each needs, for a threshold ``num / den``."""
+class Threshold:
+    """What a threshold ``num / den`` asks of sets of given sizes."""
 
-    def __init__(self, num: int, den: int, most: int = 1 << 31) -> None:
+    def __init__(self, num: int, den: int) -> None:
         if not 0 < num <= den:
             raise ValueError("the threshold lies above 0 and at most at 1")
         self.num, self.den = num, den
-        self.starts = [1]
-        while self.starts[-1] < most:
-            at = self.starts[-1]
-            self.starts.append(max(at + 1, -(-at * den * den // (num * num))))
-        self.edges = np.array(self.starts)
-
-    def blocks(self, band: int) -> int:
-        largest = self.starts[band + 1] - 1
-        return 2 * largest * (self.den - self.num) // (self.den + self.num) + 1
-
-    def of(self, n: int) -> list[int]:
-        """The bands in which a set of ``n`` shingles can have partners."""
-        band = int(np.searchsorted(self.edges, n, side="right")) - 1
-        return [band, band + 1] if n * self.den >= self.num * self.starts[band + 1] else [band]
-
-    def cells(self, shingles: np.ndarray) -> np.ndarray:
-        """Cells of one set, given as ascending distinct hashes; none where partners can only be equal sets."""
-        out = []
-        high, marks = shingles >> np.uint64(32), _MARKS[(shingles & np.uint64(GROUPS - 1)).astype(np.int64)]
-        sums = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(marks)])
-        for band in self.of(len(shingles)):
-            blocks = self.blocks(band)
-            if blocks == 1:
-                continue
-            which = (high * np.uint64(blocks)) >> np.uint64(32)
-            edges = np.searchsorted(which, np.arange(blocks + 1, dtype=np.uint64))
-            # The sum of marks stands for the block's counts per group.
-            place = np.arange(blocks, dtype=np.uint64) + np.uint64(band << 40)
-            out.append(mixed(sums[edges[1:]] - sums[edges[:-1]] + mixed(place + np.uint64(1))))
-        return np.concatenate(out) if out else np.zeros(0, dtype=np.uint64)
+
+    def cells(self, shingles: np.ndarray, frequent: BitFilter) -> np.ndarray:
+        """Cells of one set, given as ascending distinct hashes: its first shingles, frequent ones last."""
+        n = len(shingles)
+        most = n - -(-n * self.num // self.den) + 1
+        late = frequent.has(shingles)
+        return np.concatenate([shingles[~late], shingles[late]])[:most] if late.any() else shingles[:most]
 
     def linked(self, a: np.ndarray, b: np.ndarray) -> bool:
         both = len(np.intersect1d(a, b, assume_unique=True))
@@ -119,7 +97,7 @@ class Tree:
             self.levels.append((np.maximum.reduceat(p, at, axis=0), np.minimum.reduceat(s, at)))
 
 
-def tree_join(a: Tree, b: Tree, bands: Bands) -> tuple[np.ndarray, np.ndarray]:
+def tree_join(a: Tree, b: Tree, threshold: Threshold) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of points, as positions in what the trees were made of, whose summed minima reach the least overlap."""
     depth = max(len(a.levels), len(b.levels))
     x, y = np.zeros(1, dtype=np.int64), np.zeros(1, dtype=np.int64)
@@ -129,7 +107,7 @@ def tree_join(a: Tree, b: Tree, bands: Bands) -> tuple[np.ndarray, np.ndarray]:
         for at in range(0, len(x), 4096):
             i, j = x[at : at + 4096], y[at : at + 4096]
             reach = np.minimum(pa_[i], pb[j]).sum(axis=1, dtype=np.int64)
-            keep[at : at + 4096] = reach >= bands.least_overlap(sa[i] + sb[j])
+            keep[at : at + 4096] = reach >= threshold.least_overlap(sa[i] + sb[j])
         x, y = x[keep], y[keep]
         if level:
             x, y = _children(x, y, a, b, level)
@@ -169,13 +147,15 @@ def jaccard_components(
     fixed size that tells which cells may hold two sets; a crowded filter lets more rows pass.
     """
     spark = docs.sparkSession
-    bands = Bands(num, den)
+    threshold = Threshold(num, den)
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    seen = source.select("text").mapInArrow(_cell_keys(bands, words), "cell long, least long, most long")
+    often = bit_filter(source.select("text").mapInArrow(_frequent(words), "h long").distinct(), "h", filter_bits)
+    frequent = spark.sparkContext.broadcast(often)
+    seen = source.select("text").mapInArrow(_cell_keys(threshold, words, frequent), "cell long, least long, most long")
     cells = stored(seen.groupBy("cell").agg(F.min("least").alias("least"), F.max("most").alias("most")).filter("least < most"), "jaccard-cells")
     told = spark.sparkContext.broadcast(bit_filter(cells, "cell", filter_bits))
     schema = "doc_id long, n_shingles long, key long, cells array<long>, point binary, shingles binary"
-    points = stored(source.mapInArrow(_points(bands, words, told), schema), "jaccard-points")
+    points = stored(source.mapInArrow(_points(threshold, words, frequent, told), schema), "jaccard-points")
     sets = stored(points.filter("point IS NOT NULL").select("key", "n_shingles", "cells", "point", "shingles").dropDuplicates(["key"]), "jaccard-sets")
     members = stored(sets.select("key", F.explode("cells").alias("cell")).join(cells, "cell", "left_semi"), "jaccard-members")
 
@@ -184,7 +164,7 @@ def jaccard_components(
     sized = members.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     dealt = members.join(sized, "cell").select("cell", "key", F.pmod(F.xxhash64("key", "cell"), "blocks").cast("int").alias("block"), F.xxhash64("cell", "key").alias("turn"))
     ordered = dealt.join(facts.drop("cells"), "key").repartition("cell", "block").sortWithinPartitions("cell", "block", "turn")
-    links = stored(_verified(ordered.mapInArrow(_neighbours(bands), "a long, b long").distinct(), sets, bands), "jaccard-links")
+    links = stored(_verified(ordered.mapInArrow(_neighbours(threshold), "a long, b long").distinct(), sets, threshold), "jaccard-links")
     graph = components(links)
     # Then all pairs of a cell whose documents are not joined yet.
     known = facts.join(graph, F.col("key") == F.col("node"), "left").select("key", F.coalesce("root", "key").alias("part"), "n_shingles", "point", "cells")
@@ -196,7 +176,7 @@ def jaccard_components(
         "cell", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "key"
     )
     ordered = spread.join(known, "key").repartition("cell", "i", "j").sortWithinPartitions("cell", "i", "j")
-    more = _verified(ordered.mapInArrow(_candidates(bands), "a long, b long"), sets, bands)
+    more = _verified(ordered.mapInArrow(_candidates(threshold), "a long, b long"), sets, threshold)
     graph = components(links.unionByName(more))
 
     roots = points.filter("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("least"))
@@ -207,7 +187,7 @@ def jaccard_components(
     )
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, bands: Bands) -> DataFrame:
+def _verified(pairs: DataFrame, sets: DataFrame, threshold: Threshold) -> DataFrame:
     """Those of the pairs (a, b) of set keys that link, by their shingles."""
     whole = sets.select("key", "shingles")
     left = pairs.join(whole.select(F.col("key").alias("a"), F.col("shingles").alias("x")), "a")
@@ -215,13 +195,37 @@ def _verified(pairs: DataFrame, sets: DataFrame, bands: Bands) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = [bands.linked(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)) for x, y in zip(batch["x"], batch["y"], strict=True)]
+            keep = [threshold.linked(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)) for x, y in zip(batch["x"], batch["y"], strict=True)]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return both.mapInArrow(work, "a long, b long")
 
 
-def _cell_keys(bands: Bands, words: int):
+def _frequent(words: int):
+    """Shingles that stand in ``FREQUENT`` documents of a batch or more."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            many = np.zeros(0, dtype=np.uint64)
+            counts = np.zeros(0, dtype=np.int64)
+            waiting: list[np.ndarray] = []
+            size = 0
+            for k, shingles in shingle_sets(batch["text"], words):
+                waiting.append(shingles)
+                size += len(shingles)
+                if size > 1 << 19 or k + 1 == batch.num_rows:
+                    h, n = np.unique(np.concatenate(waiting), return_counts=True)
+                    # Only what repeats within a portion is worth carrying on.
+                    h, n = h[n > 1], n[n > 1]
+                    both, at = np.unique(np.concatenate([many, h]), return_inverse=True)
+                    many, counts = both, np.bincount(at, weights=np.concatenate([counts, n]), minlength=len(both)).astype(np.int64)
+                    waiting, size = [], 0
+            yield pa.RecordBatch.from_arrays([pa.array(many[counts >= FREQUENT].view(np.int64))], ["h"])
+
+    return work
+
+
+def _cell_keys(threshold: Threshold, words: int, frequent):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             known: set[int] = set()
@@ -230,7 +234,7 @@ def _cell_keys(bands: Bands, words: int):
                 key = set_key(shingles)
                 if key is not None and key not in known:
                     known.add(key)
-                    own = bands.cells(shingles)
+                    own = threshold.cells(shingles, frequent.value)
                     cells.append(own)
                     keys.append(np.full(len(own), key, dtype=np.int64))
             if not cells:
@@ -241,7 +245,7 @@ def _cell_keys(bands: Bands, words: int):
     return work
 
 
-def _points(bands: Bands, words: int, told):
+def _points(threshold: Threshold, words: int, frequent, told):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["doc_id", "n_shingles", "key", "cells", "point", "shingles"]
         types = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.binary()]
@@ -262,7 +266,7 @@ def _points(bands: Bands, words: int, told):
                 row = (len(shingles), key, None, None, None)
                 if key is not None and key not in known:
                     known.add(key)
-                    own = bands.cells(shingles)
+                    own = threshold.cells(shingles, frequent.value)
                     own = own[told.value.has(own)]
                     if len(own):
                         counts = np.bincount((shingles & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS).astype("<u4")
@@ -278,7 +282,7 @@ def _counts(column: pa.Array, begin: int, end: int) -> np.ndarray:
     return np.frombuffer(b"".join(p.as_py() for p in column[begin:end]), "<u4").reshape(end - begin, -1)
 
 
-def _neighbours(bands: Bands):
+def _neighbours(threshold: Threshold):
     """Pairs of neighbours in a block of a cell whose summed minima reach the least overlap."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -291,14 +295,14 @@ def _neighbours(bands: Bands):
                 continue
             points = _counts(table["point"].combine_chunks(), 0, len(key))
             reach = np.concatenate([np.minimum(points[p], points[p - 1]).sum(axis=1, dtype=np.int64) for p in np.array_split(at, len(at) // 4096 + 1)])
-            at = at[reach >= bands.least_overlap(size[at] + size[at - 1])]
+            at = at[reach >= threshold.least_overlap(size[at] + size[at - 1])]
             pairs = np.unique(np.stack([np.maximum(key[at], key[at - 1]), np.minimum(key[at], key[at - 1])], axis=1), axis=0)
             yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
     return work
 
 
-def _candidates(bands: Bands):
+def _candidates(threshold: Threshold):
     """Pairs of different parts in a cell, from its tiles; each pair in the smallest of the cells that both have."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -312,7 +316,7 @@ def _candidates(bands: Bands):
                 left, right = np.flatnonzero(block[x:y] == i[x]), np.flatnonzero(block[x:y] == j[x])
                 if not len(left) or not len(right):
                     continue
-                a, b = tree_join(Tree(points[left], size[x:y][left]), Tree(points[right], size[x:y][right]), bands)
+                a, b = tree_join(Tree(points[left], size[x:y][left]), Tree(points[right], size[x:y][right]), threshold)
                 a, b = left[a] + x, right[b] + x
                 keep = part[a] != part[b]
                 if i[x] == j[x]:

@@ -69,12 +69,12 @@ def test_jaccard_equals_brute_force(spark, make):
 
 def test_tree_join_drops_no_pair_that_reaches_the_overlap():
     rng = np.random.default_rng(2)
-    bands = jaccard.Bands(80, 100)
+    threshold = jaccard.Threshold(80, 100)
     a, b = (rng.poisson(1.0, size=(n, 256)).astype(np.uint32) for n in (70, 45))
     b[:20] = a[:20]
     sa, sb = a.sum(axis=1).astype(np.int64), b.sum(axis=1).astype(np.int64)
-    x, y = jaccard.tree_join(jaccard.Tree(a, sa), jaccard.Tree(b, sb), bands)
-    want = {(i, j) for i in range(70) for j in range(45) if np.minimum(a[i], b[j]).sum() >= bands.least_overlap(sa[i] + sb[j])}
+    x, y = jaccard.tree_join(jaccard.Tree(a, sa), jaccard.Tree(b, sb), threshold)
+    want = {(i, j) for i in range(70) for j in range(45) if np.minimum(a[i], b[j]).sum() >= threshold.least_overlap(sa[i] + sb[j])}
     assert set(zip(x.tolist(), y.tolist(), strict=True)) == want and len(want) >= 20
 
 
