@@ -154,9 +154,9 @@ def jaccard_components(
     seen = source.select("text").mapInArrow(_cell_keys(threshold, words, frequent), "cell long, least long, most long")
     cells = stored(seen.groupBy("cell").agg(F.min("least").alias("least"), F.max("most").alias("most")).filter("least < most"), "jaccard-cells")
     told = spark.sparkContext.broadcast(bit_filter(cells, "cell", filter_bits))
-    schema = "doc_id long, n_shingles long, key long, cells array<long>, point binary, shingles binary"
+    schema = "doc_id long, n_shingles long, key long, cells array<long>, point binary"
     points = stored(source.mapInArrow(_points(threshold, words, frequent, told), schema), "jaccard-points")
-    sets = stored(points.filter("point IS NOT NULL").select("key", "n_shingles", "cells", "point", "shingles").dropDuplicates(["key"]), "jaccard-sets")
+    sets = stored(points.filter("point IS NOT NULL").select("key", "n_shingles", "cells", "point").dropDuplicates(["key"]), "jaccard-sets")
     members = stored(sets.select("key", F.explode("cells").alias("cell")).join(cells, "cell", "left_semi"), "jaccard-members")
 
     facts = sets.select("key", "n_shingles", "point", "cells")
@@ -164,7 +164,7 @@ def jaccard_components(
     sized = members.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     dealt = members.join(sized, "cell").select("cell", "key", F.pmod(F.xxhash64("key", "cell"), "blocks").cast("int").alias("block"), F.xxhash64("cell", "key").alias("turn"))
     ordered = dealt.join(facts.drop("cells"), "key").repartition("cell", "block").sortWithinPartitions("cell", "block", "turn")
-    links = stored(_verified(ordered.mapInArrow(_neighbours(threshold), "a long, b long").distinct(), sets, threshold), "jaccard-links")
+    links = stored(_verified(ordered.mapInArrow(_neighbours(threshold), "a long, b long").distinct(), source, words, threshold, filter_bits), "jaccard-links")
     graph = components(links)
     # Then all pairs of a cell whose documents are not joined yet.
     known = facts.join(graph, F.col("key") == F.col("node"), "left").select("key", F.coalesce("root", "key").alias("part"), "n_shingles", "point", "cells")
@@ -176,7 +176,7 @@ def jaccard_components(
         "cell", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "key"
     )
     ordered = spread.join(known, "key").repartition("cell", "i", "j").sortWithinPartitions("cell", "i", "j")
-    more = _verified(ordered.mapInArrow(_candidates(threshold), "a long, b long"), sets, threshold)
+    more = _verified(ordered.mapInArrow(_candidates(threshold), "a long, b long"), source, words, threshold, filter_bits)
     graph = components(links.unionByName(more))
 
     roots = points.filter("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("least"))
@@ -187,9 +187,12 @@ def jaccard_components(
     )
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, threshold: Threshold) -> DataFrame:
-    """Those of the pairs (a, b) of set keys that link, by their shingles."""
-    whole = sets.select("key", "shingles")
+def _verified(pairs: DataFrame, source: DataFrame, words: int, threshold: Threshold, filter_bits: int) -> DataFrame:
+    """Those of the pairs (a, b) of set keys that link, by the shingles of the documents that stand in them."""
+    spark = source.sparkSession
+    pairs = stored(pairs, "jaccard-pairs")
+    named = spark.sparkContext.broadcast(bit_filter(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "key", filter_bits))
+    whole = stored(source.select("text").mapInArrow(_sets(words, named), "key long, shingles binary").dropDuplicates(["key"]), "jaccard-shingles")
     left = pairs.join(whole.select(F.col("key").alias("a"), F.col("shingles").alias("x")), "a")
     both = left.join(whole.select(F.col("key").alias("b"), F.col("shingles").alias("y")), "b").select("a", "b", "x", "y")
 
@@ -201,6 +204,28 @@ def _verified(pairs: DataFrame, sets: DataFrame, threshold: Threshold) -> DataFr
     return both.mapInArrow(work, "a long, b long")
 
 
+def _sets(words: int, named):
+    """Shingles of the sets that the filter lets pass, each once in a batch."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            known: set[int] = set()
+            keys, sets, size = [], [], 0
+            for _, shingles in shingle_sets(batch["text"], words):
+                key = set_key(shingles)
+                if key is not None and key not in known and named.value.has(np.array([key]))[0]:
+                    known.add(key)
+                    keys.append(key)
+                    sets.append(shingles.tobytes())
+                    size += len(sets[-1])
+                if size > 8 << 20:
+                    yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(sets, pa.binary())], ["key", "shingles"])
+                    keys, sets, size = [], [], 0
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(sets, pa.binary())], ["key", "shingles"])
+
+    return work
+
+
 def _frequent(words: int):
     """Shingles that stand in ``FREQUENT`` documents of a batch or more."""
 
@@ -247,8 +272,8 @@ def _cell_keys(threshold: Threshold, words: int, frequent):
 
 def _points(threshold: Threshold, words: int, frequent, told):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "n_shingles", "key", "cells", "point", "shingles"]
-        types = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.binary()]
+        names = ["doc_id", "n_shingles", "key", "cells", "point"]
+        types = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary()]
         for batch in batches:
             known: set[int] = set()
             rows: list[tuple] = []
@@ -263,15 +288,15 @@ def _points(threshold: Threshold, words: int, frequent, told):
                     yield flush(k)
                     rows, begin, size = [], k, 0
                 key = set_key(shingles)
-                row = (len(shingles), key, None, None, None)
+                row = (len(shingles), key, None, None)
                 if key is not None and key not in known:
                     known.add(key)
                     own = threshold.cells(shingles, frequent.value)
                     own = own[told.value.has(own)]
                     if len(own):
                         counts = np.bincount((shingles & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS).astype("<u4")
-                        row = (len(shingles), key, own.view(np.int64), counts.tobytes(), shingles.tobytes())
-                        size += 8 * len(shingles)
+                        row = (len(shingles), key, own.view(np.int64), counts.tobytes())
+                        size += 8 * len(own) + 4 * GROUPS
                 rows.append(row)
             yield flush(batch.num_rows)
 
