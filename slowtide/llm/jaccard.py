@@ -7,7 +7,8 @@ Upper level of the tree, as join keys. In any one order of all shingles, sets ab
 share one of their first shingles: as many as a linked set may miss, and one more. A cell holds the
 documents with one such shingle; no linked pair is without a common cell. The order is
 that of the hashes, but shingles that are frequent where they are read come last, so cells stay
-small; which ones count as frequent changes the cost, not the links.
+small; which ones count as frequent changes the cost, not the links. Cells are cut by size of set,
+and cells with the same members are one.
 
 Lower levels, in tasks. The points of a cell are packed into a tree of tiles with the largest count
 per coordinate; pairs of tiles whose summed minima cannot reach the overlap are dropped whole, and
@@ -20,6 +21,7 @@ cells, then only pairs of different components meet within a cell, in the first
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -157,21 +159,23 @@ def jaccard_components(
     schema = "doc_id long, n_shingles long, key long, cells array<long>, point binary"
     points = stored(source.mapInArrow(_points(threshold, words, frequent, told), schema), "jaccard-points")
     sets = stored(points.filter("point IS NOT NULL").select("key", "n_shingles", "cells", "point").dropDuplicates(["key"]), "jaccard-sets")
-    members = stored(sets.select("key", F.explode("cells").alias("cell")).join(cells, "cell", "left_semi"), "jaccard-members")
+    members = stored(_meetings(sets.select("key", "n_shingles", F.explode("cells").alias("cell")).join(cells, "cell", "left_semi"), threshold), "jaccard-members")
 
-    facts = sets.select("key", "n_shingles", "point", "cells")
+    facts = sets.select("key", "n_shingles", "point")
     # First neighbours only, in an order that differs from cell to cell: few pairs, which join most of a large group.
     sized = members.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     dealt = members.join(sized, "cell").select("cell", "key", F.pmod(F.xxhash64("key", "cell"), "blocks").cast("int").alias("block"), F.xxhash64("cell", "key").alias("turn"))
-    ordered = dealt.join(facts.drop("cells"), "key").repartition("cell", "block").sortWithinPartitions("cell", "block", "turn")
+    ordered = dealt.join(facts, "key").repartition("cell", "block").sortWithinPartitions("cell", "block", "turn")
     links = stored(_verified(ordered.mapInArrow(_neighbours(threshold), "a long, b long").distinct(), source, words, threshold, filter_bits), "jaccard-links")
     graph = components(links)
     # Then all pairs of a cell whose documents are not joined yet.
-    known = facts.join(graph, F.col("key") == F.col("node"), "left").select("key", F.coalesce("root", "key").alias("part"), "n_shingles", "point", "cells")
+    known = facts.join(graph, F.col("key") == F.col("node"), "left").select("key", F.coalesce("root", "key").alias("part"), "n_shingles", "point")
     placed = members.join(known.select("key", "part"), "key")
     mixed_cells = placed.groupBy("cell").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count("*").alias("n")).filter("low < high")
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    dealt = placed.join(mixed_cells, "cell").select("cell", "key", blocks.alias("blocks"), F.pmod(F.xxhash64("key", "cell"), blocks).cast("int").alias("block"))
+    mixed = stored(placed.join(mixed_cells, "cell").select("cell", "key", blocks.alias("blocks")), "jaccard-mixed")
+    known = known.join(mixed.groupBy("key").agg(F.collect_list("cell").alias("cells")), "key")
+    dealt = mixed.select("cell", "key", "blocks", F.pmod(F.xxhash64("key", "cell"), "blocks").cast("int").alias("block"))
     spread = dealt.select("cell", "key", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).select(
         "cell", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "key"
     )
@@ -187,6 +191,23 @@ def jaccard_components(
     )
 
 
+def _meetings(members: DataFrame, threshold: Threshold) -> DataFrame:
+    """Rows (cell, key) of the meetings that a pair needs: cells cut by size, and one cell for all with the same members.
+
+    Linked sets differ in size by less than the threshold's ratio, so they lie in one band of that
+    width or in two that touch; a set stands in its own band's meeting and the next one's. A set
+    alone in a meeting leaves, and of meetings with the same members one is enough.
+    """
+    width = max(math.log(threshold.den / threshold.num), 1e-6) * (1 + 1e-9)
+    band = F.floor(F.log("n_shingles") / width)
+    rows = members.select(F.explode(F.array(band, band + 1)).alias("band"), "cell", "key").select(F.xxhash64("cell", "band").alias("cell"), "key")
+    named = rows.groupBy("cell").agg(
+        F.count("*").alias("n"), F.bit_xor(F.xxhash64("key")).alias("x"), F.sum(F.shiftright(F.xxhash64("key", F.lit(1)), 24)).alias("y")
+    )
+    one = named.filter("n > 1").groupBy("n", "x", "y").agg(F.min("cell").alias("cell"))
+    return rows.join(one.select("cell"), "cell", "left_semi")
+
+
 def _verified(pairs: DataFrame, source: DataFrame, words: int, threshold: Threshold, filter_bits: int) -> DataFrame:
     """Those of the pairs (a, b) of set keys that link, by the shingles of the documents that stand in them."""
     spark = source.sparkSession
