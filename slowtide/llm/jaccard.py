@@ -315,8 +315,8 @@ def _points(threshold: Threshold, words: int, frequent, told):
                     own = threshold.cells(shingles, frequent.value)
                     own = own[told.value.has(own)]
                     if len(own):
-                        counts = np.bincount((shingles & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS).astype("<u4")
-                        row = (len(shingles), key, own.view(np.int64), counts.tobytes())
+                        counts = np.bincount((shingles & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS)
+                        row = (len(shingles), key, own.view(np.int64), point_bytes(counts))
                         size += 8 * len(own) + 4 * GROUPS
                 rows.append(row)
             yield flush(batch.num_rows)
@@ -324,8 +324,21 @@ def _points(threshold: Threshold, words: int, frequent, told):
     return work
 
 
+def point_bytes(counts: np.ndarray) -> bytes:
+    """A point's counts, a byte each where they all fit in one and four bytes each otherwise."""
+    return counts.astype("u1" if counts.max() < 256 else "<u4").tobytes()
+
+
+def point_counts(points: list[bytes]) -> np.ndarray:
+    """One row of counts per point."""
+    out = np.empty((len(points), GROUPS), dtype=np.uint32)
+    for k, p in enumerate(points):
+        out[k] = np.frombuffer(p, "u1" if len(p) == GROUPS else "<u4")
+    return out
+
+
 def _counts(column: pa.Array, begin: int, end: int) -> np.ndarray:
-    return np.frombuffer(b"".join(p.as_py() for p in column[begin:end]), "<u4").reshape(end - begin, -1)
+    return point_counts(column.slice(begin, end - begin).to_pylist())
 
 
 def _neighbours(threshold: Threshold):

@@ -67,6 +67,15 @@ def test_jaccard_equals_brute_force(spark, make):
     assert jaccard.jaccard_components(make([])).count() == 0
 
 
+def test_points_keep_small_and_large_counts():
+    rng = np.random.default_rng(5)
+    counts = np.stack([rng.integers(0, most, jaccard.GROUPS) for most in (2, 256, 257, 100_000)])
+    counts[1, 0], counts[2, 0] = 255, 256
+    packed = [jaccard.point_bytes(c) for c in counts]
+    assert [len(p) // jaccard.GROUPS for p in packed] == [1, 1, 4, 4]
+    assert (jaccard.point_counts(packed) == counts).all()
+
+
 def test_tree_join_drops_no_pair_that_reaches_the_overlap():
     rng = np.random.default_rng(2)
     threshold = jaccard.Threshold(80, 100)
