@@ -15,7 +15,7 @@ per coordinate; pairs of tiles whose summed minima cannot reach the overlap are
 the pairs of points that are left are verified on their shingle sets.
 
 Links that only repeat what is known are not sought: first each document meets its neighbours in its
-cells, then only pairs of different components meet within a cell, in the first cell they share.
+cells, then only pairs of different components meet within a cell.
 """
 
 from __future__ import annotations
@@ -174,13 +174,12 @@ def jaccard_components(
     mixed_cells = placed.groupBy("cell").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count("*").alias("n")).filter("low < high")
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     mixed = stored(placed.join(mixed_cells, "cell").select("cell", "key", blocks.alias("blocks")), "jaccard-mixed")
-    known = known.join(mixed.groupBy("key").agg(F.collect_list("cell").alias("cells")), "key")
     dealt = mixed.select("cell", "key", "blocks", F.pmod(F.xxhash64("key", "cell"), "blocks").cast("int").alias("block"))
     spread = dealt.select("cell", "key", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).select(
         "cell", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "key"
     )
     ordered = spread.join(known, "key").repartition("cell", "i", "j").sortWithinPartitions("cell", "i", "j")
-    more = _verified(ordered.mapInArrow(_candidates(threshold), "a long, b long"), source, words, threshold, filter_bits)
+    more = _verified(ordered.mapInArrow(_candidates(threshold), "a long, b long").distinct(), source, words, threshold, filter_bits)
     graph = components(links.unionByName(more))
 
     roots = points.filter("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("least"))
@@ -362,12 +361,12 @@ def _neighbours(threshold: Threshold):
 
 
 def _candidates(threshold: Threshold):
-    """Pairs of different parts in a cell, from its tiles; each pair in the smallest of the cells that both have."""
+    """Pairs of different parts in a cell, from its tiles."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, edges in whole_groups(batches, ["cell", "i", "j"]):
-            cell, i, j, block, key, part, size = (table[c].to_numpy() for c in ("cell", "i", "j", "block", "key", "part", "n_shingles"))
-            counts, cells = table["point"].combine_chunks(), table["cells"].combine_chunks()
+            i, j, block, key, part, size = (table[c].to_numpy() for c in ("i", "j", "block", "key", "part", "n_shingles"))
+            counts = table["point"].combine_chunks()
             for x, y in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
                 if y - x < 2 or (part[x:y] == part[x]).all():
                     continue
@@ -381,8 +380,6 @@ def _candidates(threshold: Threshold):
                 if i[x] == j[x]:
                     keep &= a < b
                 a, b = a[keep], b[keep]
-                own = {k: cells[k].values.to_numpy() for k in np.unique(np.concatenate([a, b])).tolist()}
-                first = np.array([np.intersect1d(own[p], own[q]).min() == cell[x] for p, q in zip(a.tolist(), b.tolist(), strict=True)], dtype=bool)
-                yield pa.RecordBatch.from_arrays([pa.array(key[a[first]]), pa.array(key[b[first]])], ["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.maximum(key[a], key[b])), pa.array(np.minimum(key[a], key[b]))], ["a", "b"])
 
     return work
