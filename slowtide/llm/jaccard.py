@@ -34,7 +34,8 @@ from slowtide.llm.components import components
 from slowtide.llm.words import Hasher
 
 SHINGLE_WORDS, NUMERATOR, DENOMINATOR = 5, 80, 100
-GROUPS = 256
+#: Coordinates of a point: about an eighth to a quarter of the set's size, a power of two between these.
+LEAST_GROUPS, GROUPS = 16, 256
 FILTER_BITS = 25
 #: Points of a cell that meet in a task at a time, and entries of a tile.
 BLOCK, FANOUT = 512, 16
@@ -314,8 +315,7 @@ def _points(threshold: Threshold, words: int, frequent, told):
                     own = threshold.cells(shingles, frequent.value)
                     own = own[told.value.has(own)]
                     if len(own):
-                        counts = np.bincount((shingles & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS)
-                        row = (len(shingles), key, own.view(np.int64), point_bytes(counts))
+                        row = (len(shingles), key, own.view(np.int64), point_bytes(group_counts(shingles)))
                         size += 8 * len(own) + 4 * GROUPS
                 rows.append(row)
             yield flush(batch.num_rows)
@@ -323,16 +323,28 @@ def _points(threshold: Threshold, words: int, frequent, told):
     return work
 
 
+def group_counts(shingles: np.ndarray) -> np.ndarray:
+    """A set's point; small sets are counted in fewer groups, unless a count then needs more than a byte."""
+    few = min(GROUPS, max(LEAST_GROUPS, 1 << (max(1, -(-len(shingles) // 8)) - 1).bit_length()))
+    for width in (few, GROUPS):
+        counts = np.bincount((shingles & np.uint64(width - 1)).astype(np.int64), minlength=width)
+        if counts.max() < 256:
+            break
+    return counts
+
+
 def point_bytes(counts: np.ndarray) -> bytes:
     """A point's counts, a byte each where they all fit in one and four bytes each otherwise."""
     return counts.astype("u1" if counts.max() < 256 else "<u4").tobytes()
 
 
 def point_counts(points: list[bytes]) -> np.ndarray:
-    """One row of counts per point."""
-    out = np.empty((len(points), GROUPS), dtype=np.uint32)
+    """One row of counts per point, all in the fewest groups that any of them has: a group's number modulo theirs."""
+    width = min(min(len(p) for p in points), GROUPS)
+    out = np.empty((len(points), width), dtype=np.uint32)
     for k, p in enumerate(points):
-        out[k] = np.frombuffer(p, "u1" if len(p) == GROUPS else "<u4")
+        counts = np.frombuffer(p, "u1" if len(p) <= GROUPS else "<u4")
+        out[k] = counts if len(counts) == width else counts.reshape(-1, width).sum(axis=0, dtype=np.uint32)
     return out
 
 

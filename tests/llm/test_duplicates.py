@@ -129,3 +129,16 @@ def test_near_vectors_equal_brute_force(spark):
     assert len(got) == len(rows) and {k: got[k] for k in want} == want and near.sum() > 500
     assert all(got[k] == (0, k, True) for k in range(n + 10, n + 17)) and got[None] == (0, None, False)
     assert neardup.near_duplicates(df.limit(0)).count() == 0
+
+
+def test_points_of_different_widths_bound_the_overlap():
+    rng = np.random.default_rng(8)
+    whole = np.unique(rng.integers(0, 1 << 63, 3000).astype(np.uint64))
+    one_group = np.arange(600, dtype=np.uint64) << np.uint64(8)
+    sets = [whole[:n] for n in (1, 9, 128, 129, 700, 3000)] + [np.sort(np.concatenate([one_group, whole[:100]])), whole[50:200]]
+    points = [jaccard.group_counts(s) for s in sets]
+    assert len({len(p) for p in points}) > 3 and all(p.sum() == len(s) for p, s in zip(points, sets, strict=True))
+    for x, p in zip(sets, points, strict=True):
+        for y, q in zip(sets, points, strict=True):
+            both = jaccard.point_counts([jaccard.point_bytes(p), jaccard.point_bytes(q)])
+            assert both[0].sum() == len(x) and np.minimum(*both).sum() >= len(np.intersect1d(x, y))
