@@ -35,7 +35,7 @@ from slowtide.llm.words import Hasher
 
 SHINGLE_WORDS, NUMERATOR, DENOMINATOR = 5, 80, 100
 #: Coordinates of a point: about an eighth to a quarter of the set's size, a power of two between these.
-LEAST_GROUPS, GROUPS = 16, 256
+LEAST_GROUPS, GROUPS = 16, 1024
 FILTER_BITS = 25
 #: Points of a cell that meet in a task at a time, and entries of a tile.
 BLOCK, FANOUT = 512, 16
@@ -316,7 +316,7 @@ def _points(threshold: Threshold, words: int, frequent, told):
                     own = own[told.value.has(own)]
                     if len(own):
                         row = (len(shingles), key, own.view(np.int64), point_bytes(group_counts(shingles)))
-                        size += 8 * len(own) + 4 * GROUPS
+                        size += 8 * len(own) + len(row[3])
                 rows.append(row)
             yield flush(batch.num_rows)
 
@@ -338,9 +338,9 @@ def point_bytes(counts: np.ndarray) -> bytes:
     return counts.astype("u1" if counts.max() < 256 else "<u4").tobytes()
 
 
-def point_counts(points: list[bytes]) -> np.ndarray:
-    """One row of counts per point, all in the fewest groups that any of them has: a group's number modulo theirs."""
-    width = min(min(len(p) for p in points), GROUPS)
+def point_counts(points: list[bytes], width: int | None = None) -> np.ndarray:
+    """One row of counts per point, all in ``width`` or in the fewest groups that any of them has: a group's number modulo theirs."""
+    width = width or min(min(len(p) for p in points), GROUPS)
     out = np.empty((len(points), width), dtype=np.uint32)
     for k, p in enumerate(points):
         counts = np.frombuffer(p, "u1" if len(p) <= GROUPS else "<u4")
@@ -348,8 +348,17 @@ def point_counts(points: list[bytes]) -> np.ndarray:
     return out
 
 
-def _counts(column: pa.Array, begin: int, end: int) -> np.ndarray:
-    return point_counts(column.slice(begin, end - begin).to_pylist())
+def summed_minima(points: list[bytes], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Bound of the overlap for pairs of points, each pair in the fewer groups of its two."""
+    width = np.array([min(len(p), GROUPS) for p in points])
+    least = np.minimum(width[a], width[b])
+    out = np.zeros(len(a), dtype=np.int64)
+    for w in np.unique(least).tolist():
+        at = np.flatnonzero(least == w)
+        for part in np.array_split(at, len(at) // 4096 + 1):
+            x, y = (point_counts([points[k] for k in side[part].tolist()], w) for side in (a, b))
+            out[part] = np.minimum(x, y).sum(axis=1, dtype=np.int64)
+    return out
 
 
 def _neighbours(threshold: Threshold):
@@ -363,8 +372,7 @@ def _neighbours(threshold: Threshold):
             at = np.flatnonzero(inner)
             if not len(at):
                 continue
-            points = _counts(table["point"].combine_chunks(), 0, len(key))
-            reach = np.concatenate([np.minimum(points[p], points[p - 1]).sum(axis=1, dtype=np.int64) for p in np.array_split(at, len(at) // 4096 + 1)])
+            reach = summed_minima(table["point"].to_pylist(), at, at - 1)
             at = at[reach >= threshold.least_overlap(size[at] + size[at - 1])]
             pairs = np.unique(np.stack([np.maximum(key[at], key[at - 1]), np.minimum(key[at], key[at - 1])], axis=1), axis=0)
             yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
@@ -382,7 +390,7 @@ def _candidates(threshold: Threshold):
             for x, y in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
                 if y - x < 2 or (part[x:y] == part[x]).all():
                     continue
-                points = _counts(counts, x, y)
+                points = point_counts(counts.slice(x, y - x).to_pylist())
                 left, right = np.flatnonzero(block[x:y] == i[x]), np.flatnonzero(block[x:y] == j[x])
                 if not len(left) or not len(right):
                     continue
