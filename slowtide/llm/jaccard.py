@@ -213,7 +213,8 @@ def _verified(pairs: DataFrame, source: DataFrame, words: int, threshold: Thresh
     spark = source.sparkSession
     pairs = stored(pairs, "jaccard-pairs")
     named = spark.sparkContext.broadcast(bit_filter(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "key", filter_bits))
-    whole = stored(source.select("text").mapInArrow(_sets(words, named), "key long, shingles binary").dropDuplicates(["key"]), "jaccard-shingles")
+    # Both joins read the one exchange by key.
+    whole = source.select("text").mapInArrow(_sets(words, named), "key long, shingles binary").dropDuplicates(["key"])
     left = pairs.join(whole.select(F.col("key").alias("a"), F.col("shingles").alias("x")), "a")
     both = left.join(whole.select(F.col("key").alias("b"), F.col("shingles").alias("y")), "b").select("a", "b", "x", "y")
 
