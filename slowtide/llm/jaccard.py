@@ -40,7 +40,7 @@ FILTER_BITS = 25
 #: Points of a cell that meet in a task at a time, and entries of a tile.
 BLOCK, FANOUT = 512, 16
 #: Documents of one batch that make a shingle frequent.
-FREQUENT = 16
+FREQUENT = 4
 
 
 class Threshold:
