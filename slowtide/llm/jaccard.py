@@ -4,8 +4,9 @@ A document's word shingles are hashed into groups, and the counts per group are
 share at most the sum, over the coordinates, of the smaller count, which bounds their overlap.
 
 Upper level of the tree, as join keys. In any one order of all shingles, sets above the threshold
-share one of their first shingles: as many as a linked set may miss, and one more. A cell holds the
-documents with one such shingle; no linked pair is without a common cell. The order is
+share some of their first shingles: s of them among as many as a linked set may miss and s more. A
+cell holds the documents with one such shingle; a linked pair has s cells in common, so a set that
+shares fewer cells with others links with none. The order is
 that of the hashes, but shingles that are frequent where they are read come last, so cells stay
 small; which ones count as frequent changes the cost, not the links. Cells are cut by size of set,
 and cells with the same members are one.
@@ -51,10 +52,18 @@ class Threshold:
             raise ValueError("the threshold lies above 0 and at most at 1")
         self.num, self.den = num, den
 
+    def kept(self, n: int) -> int:
+        """Shingles of a set of ``n`` that any linked one has at least; its size is no smaller either."""
+        return -(-n * self.num // self.den)
+
+    def shared(self, n: int) -> int:
+        """Cells that a set of ``n`` has in common with a linked one that is no smaller, at least; grows with ``n``."""
+        return min(1 + (n - self.kept(n)) // 4, self.kept(n))
+
     def cells(self, shingles: np.ndarray, frequent: BitFilter) -> np.ndarray:
         """Cells of one set, given as ascending distinct hashes: its first shingles, frequent ones last."""
         n = len(shingles)
-        most = n - -(-n * self.num // self.den) + 1
+        most = n - self.kept(n) + self.shared(n)
         late = frequent.has(shingles)
         return np.concatenate([shingles[~late], shingles[late]])[:most] if late.any() else shingles[:most]
 
@@ -315,7 +324,7 @@ def _points(threshold: Threshold, words: int, frequent, told):
                     known.add(key)
                     own = threshold.cells(shingles, frequent.value)
                     own = own[told.value.has(own)]
-                    if len(own):
+                    if len(own) >= threshold.shared(threshold.kept(len(shingles))):
                         row = (len(shingles), key, own.view(np.int64), point_bytes(group_counts(shingles)))
                         size += 8 * len(own) + len(row[3])
                 rows.append(row)

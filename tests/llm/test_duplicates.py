@@ -7,6 +7,7 @@ import re
 import numpy as np
 
 from slowtide.llm import jaccard, neardup, substrings
+from slowtide.llm.common import BitFilter
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -142,3 +143,25 @@ def test_points_of_different_widths_bound_the_overlap():
         for y, q in zip(sets, points, strict=True):
             both = jaccard.point_counts([jaccard.point_bytes(p), jaccard.point_bytes(q)])
             assert both[0].sum() == len(x) and np.minimum(*both).sum() >= len(np.intersect1d(x, y))
+
+
+def test_linked_sets_share_the_cells_that_are_asked_for():
+    rng = np.random.default_rng(12)
+    filters = [BitFilter(8, np.zeros(4, dtype=np.uint64)), BitFilter(8, rng.integers(0, 1 << 63, 4).astype(np.uint64) | rng.integers(0, 1 << 63, 4).astype(np.uint64))]
+    for num in (10, 50, 80, 90, 100):
+        threshold = jaccard.Threshold(num, 100)
+        linked = 0
+        for _ in range(600):
+            n = int(rng.integers(1, 160))
+            base = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64))
+            out = rng.random(len(base)) < rng.random() * (1 - num / 100) * 1.2
+            more = rng.integers(0, 1 << 63, int(rng.integers(0, 1 + len(base) * (100 - num) // 100))).astype(np.uint64)
+            other = np.unique(np.concatenate([base[~out], more]))
+            if not len(other) or not threshold.linked(base, other):
+                continue
+            linked += 1
+            for frequent in filters:
+                both = len(np.intersect1d(threshold.cells(base, frequent), threshold.cells(other, frequent)))
+                for x in (base, other):
+                    assert both >= threshold.shared(threshold.kept(len(x))) >= 1
+        assert linked > 100
