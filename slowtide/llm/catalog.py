@@ -36,7 +36,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 @query("op1_jaccard_join")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.jaccard_components(table(spark, sf_dir, "documents"), num=90, den=100, words=3)
+    return jaccard.jaccard_join(table(spark, sf_dir, "documents"), num=90, den=100, words=3)
 
 
 @query("op2_bpe_round_trip")

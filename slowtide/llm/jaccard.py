@@ -15,8 +15,10 @@ Lower levels, in tasks. The points of a cell are packed into a tree of tiles wit
 per coordinate; pairs of tiles whose summed minima cannot reach the overlap are dropped whole, and
 the pairs of points that are left are verified on their shingle sets.
 
-Links that only repeat what is known are not sought: first each document meets its neighbours in its
-cells, then only pairs of different components meet within a cell, in the first cell they share.
+Components need no links that only repeat what is known: first each document meets its neighbours in
+its cells, then only pairs of different components meet within a cell, in the first cell they share.
+Links lie within components, so all links of a document are then counted there: every pair of different
+sets of a component meets once, in tasks that get a pair of blocks of its sets and send counts on.
 """
 
 from __future__ import annotations
@@ -40,6 +42,8 @@ LEAST_GROUPS, GROUPS = 16, 1024
 FILTER_BITS = 25
 #: Points of a cell that meet in a task at a time, and entries of a tile.
 BLOCK, FANOUT = 512, 16
+#: Sets, and shingles on average, of a block of a component, and columns of shared shingles counted at a time.
+PART_SETS, PART_SHINGLES, COLUMNS = 256, 1 << 19, 4096
 #: Documents of one batch that make a shingle frequent.
 FREQUENT = 4
 
@@ -158,9 +162,45 @@ def jaccard_components(
     Equal sets are one candidate, so copies cost one row each. The driver sees counts and a filter of
     fixed size that tells which cells may hold two sets; a crowded filter lets more rows pass.
     """
-    spark = docs.sparkSession
+    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    return _named(*_graph(source, Threshold(num, den), words, filter_bits)).drop("key")
+
+
+def jaccard_join(
+    docs: DataFrame,
+    num: int = NUMERATOR,
+    den: int = DENOMINATOR,
+    words: int = SHINGLE_WORDS,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    filter_bits: int = FILTER_BITS,
+) -> DataFrame:
+    """Rows (doc_id, n_shingles, component_id, n_links): those of ``jaccard_components``, and the number of links.
+
+    ``n_links`` counts the other documents whose set links with the row's, equal sets among them. Rows of
+    equal id and set are one document; each row without id is one of its own. Empty sets have no links.
+
+    All links are verified on the shingles, each pair of different sets of a component once. A pair of
+    blocks meets in a task, so a set travels once for each block of its component: rows moved and pairs
+    compared grow with the square of a component's different sets. Of two sets the link is known.
+    """
     threshold = Threshold(num, den)
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    points, graph = _graph(source, threshold, words, filter_bits)
+    graph = stored(graph, "jaccard-graph")
+    own = points.filter("key IS NOT NULL")
+    size = (F.countDistinct("doc_id") + F.count_if(F.col("doc_id").isNull())).alias("size")
+    sizes = stored(own.groupBy("key").agg(size, F.first("n_shingles").alias("n_shingles")), "jaccard-sizes")
+    counts = _link_counts(sizes, graph, source, words, threshold, filter_bits)
+    links = sizes.join(counts, "key", "left").select("key", (F.col("size") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
+    return _named(points, graph).join(links, "key", "left").select(
+        "doc_id", "n_shingles", "component_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")
+    )
+
+
+def _graph(source: DataFrame, threshold: Threshold, words: int, filter_bits: int) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc_id, n_shingles, key, …) of the documents, and rows (node, root) of the set keys that link with others."""
+    spark = source.sparkSession
     often = bit_filter(source.select("text").mapInArrow(_frequent(words), "h long").distinct(), "h", filter_bits)
     frequent = spark.sparkContext.broadcast(often)
     seen = source.select("text").mapInArrow(_cell_keys(threshold, words, frequent), "cell long, least long, most long")
@@ -191,14 +231,87 @@ def jaccard_components(
     )
     ordered = spread.join(known, "key").repartition("cell", "i", "j").sortWithinPartitions("cell", "i", "j")
     more = _verified(ordered.mapInArrow(_candidates(threshold), "a long, b long"), source, words, threshold, filter_bits)
-    graph = components(links.unionByName(more))
+    return points, components(links.unionByName(more))
+
 
+def _named(points: DataFrame, graph: DataFrame) -> DataFrame:
+    """Rows (doc_id, n_shingles, component_id, key) of all documents."""
     roots = points.filter("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("least"))
     roots = roots.join(graph, F.col("key") == F.col("node"), "left").select("key", "least", F.coalesce("root", "key").alias("root"))
     named = roots.join(roots.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("key", "component_id")
     return points.select("doc_id", "n_shingles", "key").join(named, "key", "left").select(
-        "doc_id", "n_shingles", F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
+        "doc_id", "n_shingles", F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), "key"
+    )
+
+
+def _link_counts(sizes: DataFrame, graph: DataFrame, source: DataFrame, words: int, threshold: Threshold, filter_bits: int) -> DataFrame:
+    """Rows (key, links) for the set keys that link: documents of all other sets that they link with."""
+    members = stored(graph.select(F.col("node").alias("key"), "root").join(sizes, "key"), "jaccard-classes")
+    groups = members.groupBy("root").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("shingles"), F.sum("size").alias("all"))
+    pairs = members.join(groups.filter("n = 2"), "root").select("key", (F.col("all") - F.col("size")).alias("links"))
+    blocks = F.ceil(F.greatest(F.col("n") / PART_SETS, F.col("shingles") / PART_SHINGLES)).cast("int")
+    large = members.join(groups.filter("n > 2").select("root", blocks.alias("blocks")), "root")
+    dealt = stored(large.select("root", "key", "size", "blocks", F.pmod(F.xxhash64("key", "root"), "blocks").cast("int").alias("block")), "jaccard-dealt")
+    # Each pair of blocks is a cell; a set goes to all cells of its block.
+    cells = dealt.select("root", "key", "size", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).select(
+        "root", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "key", "size"
     )
+    named = source.sparkSession.sparkContext.broadcast(bit_filter(dealt, "key", filter_bits))
+    whole = source.select("text").mapInArrow(_sets(words, named), "key long, shingles binary").dropDuplicates(["key"])
+    ordered = cells.join(whole, "key").repartition("root", "i", "j").sortWithinPartitions("root", "i", "j")
+    counted = ordered.mapInArrow(_count_cells(threshold), "key long, links long").groupBy("key").agg(F.sum("links").alias("links"))
+    return pairs.unionByName(counted)
+
+
+def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many shingles each set on the left has in common with each on the right."""
+    out = np.zeros((len(left), len(right)), dtype=np.int64)
+    a, b = np.concatenate(left), np.concatenate(right)
+    both = np.intersect1d(a, b)
+    places = []
+    for flat, sets in ((a, left), (b, right)):
+        at = np.searchsorted(both, flat)
+        at[at == len(both)] = 0
+        found = both[at] == flat if len(both) else np.zeros(len(flat), dtype=bool)
+        row, at = np.repeat(np.arange(len(sets)), [len(x) for x in sets])[found], at[found]
+        order = np.argsort(at, kind="stable")
+        places.append((row[order], at[order], len(sets)))
+    for first in range(0, len(both), COLUMNS):
+        width = min(COLUMNS, len(both) - first)
+        ones = []
+        for row, at, n in places:
+            x, y = np.searchsorted(at, [first, first + width])
+            one = np.zeros((n, width), dtype=np.float32)
+            one[row[x:y], at[x:y] - first] = 1
+            ones.append(one)
+        out += (ones[0] @ ones[1].T).astype(np.int64)
+    return out
+
+
+def _count_cells(threshold: Threshold):
+    """For the sets of a cell, the documents on the other side that they link with."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, edges in whole_groups(batches, ["root", "i", "j"]):
+            i, j, block, key, size = (table[c].to_numpy() for c in ("i", "j", "block", "key", "size"))
+            column = table["shingles"].combine_chunks()
+            for x, y in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+                sides = [np.flatnonzero(block[x:y] == n) + x for n in (i[x], j[x])]
+                if not len(sides[0]) or not len(sides[1]):
+                    continue
+                sets = [[np.frombuffer(column[k].as_buffer(), np.uint64) for k in side.tolist()] for side in sides]
+                both = overlaps(*sets)
+                n, m = (np.array([len(s) for s in side], dtype=np.int64) for side in sets)
+                linked = threshold.den * both >= threshold.num * (n[:, None] + m[None, :] - both)
+                if i[x] == j[x]:
+                    np.fill_diagonal(linked, False)
+                links = [linked.astype(np.int64) @ size[sides[1]]]
+                if i[x] != j[x]:
+                    links.append(linked.T.astype(np.int64) @ size[sides[0]])
+                keys, counts = np.concatenate([key[s] for s in sides[: len(links)]]), np.concatenate(links)
+                yield pa.RecordBatch.from_arrays([pa.array(keys[counts > 0]), pa.array(counts[counts > 0])], ["key", "links"])
+
+    return work
 
 
 def _meetings(members: DataFrame, threshold: Threshold) -> DataFrame:

@@ -165,3 +165,30 @@ def test_linked_sets_share_the_cells_that_are_asked_for():
                 for x in (base, other):
                     assert both >= threshold.shared(threshold.kept(len(x))) >= 1
         assert linked > 100
+
+
+def test_every_link_is_counted(spark, make, monkeypatch):
+    monkeypatch.setattr(jaccard, "PART_SETS", 16)
+    rng = random.Random(9)
+    rows = planted() + [(900 + k, " ".join(f"t{rng.randint(0, 3) if p % 97 == 0 else p}" for p in range(400))) for k in range(80)]
+    rows += [rows[20], (None, rows[5][1]), (None, rows[5][1]), (990, "one pair only of words here"), (991, "ONE pair only of words here"), (992, "one pair only of words here x")]
+    docs: dict = {}
+    for k, (i, t) in enumerate(rows):
+        w = WORD.findall("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or ""))
+        s = frozenset(tuple(w[p : p + 5]) for p in range(len(w) - 4)) or (frozenset([tuple(w)]) if w else frozenset())
+        docs.setdefault(s, set()).add((None, k) if i is None else i)
+    links = {s: sum(len(docs[o]) for o in docs if s and 100 * len(s & o) >= 80 * len(s | o)) for s in docs}
+    want = {(-1 if isinstance(i, tuple) else i, len(s), max(links[s] - 1, 0)) for s, ids in docs.items() for i in ids}
+    got = jaccard.jaccard_join(make(rows), 80, 100, 5).collect()
+    assert {(-1 if r["doc_id"] is None else r["doc_id"], r["n_shingles"], r["n_links"]) for r in got} == want and len(got) == len(rows)
+    assert max(n for _, _, n in want) == 79
+    assert jaccard.jaccard_join(make([])).count() == 0
+
+
+def test_overlaps_of_blocks(monkeypatch):
+    monkeypatch.setattr(jaccard, "COLUMNS", 32)
+    rng = np.random.default_rng(4)
+    left, right = ([np.unique(rng.integers(0, 400, n).astype(np.uint64)) for n in rng.integers(1, 200, m)] for m in (17, 9))
+    right.append(np.array([1 << 63], dtype=np.uint64))
+    assert (jaccard.overlaps(left, right) == [[len(np.intersect1d(x, y)) for y in right] for x in left]).all()
+    assert (jaccard.overlaps(left, right[-1:]) == 0).all()
