@@ -20,7 +20,7 @@ from slowtide.llm.words import mixed
 
 UNKNOWN = "und"
 FEATURES = 1 << 15
-#: Labelled rows that a fit takes at most, about; which ones depends on a hash of their ids alone.
+#: Labelled rows that a fit takes at most, about; which ones depends on a hash of their ids and texts.
 FIT_ROWS = 20_000
 
 _FOLD = np.arange(256, dtype=np.uint8)
@@ -106,18 +106,34 @@ def fold_of(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 4, F.lit(0))
 
 
+def label_bound(sizes: list[int], most_rows: int) -> int:
+    """Most rows of a label, so that all labels together have at most ``most_rows``; one at least."""
+    left = most_rows
+    for k, n in enumerate(sorted(sizes)):
+        bound = left // (len(sizes) - k)
+        if n > bound:
+            return max(1, bound)
+        left -= n
+    return max(1, most_rows)
+
+
 def fit(docs: DataFrame, most_rows: int = FIT_ROWS, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", held_out: int | None = 2) -> LanguageModel:
     """A model from labelled documents outside the held-out fold; whole texts of a hashed sample of at most about ``most_rows``.
 
-    Null or empty texts and null labels teach nothing. The driver gets one row per language and feature.
+    The sample is bounded by label: one with no more rows than the bound keeps them all, others are
+    thinned to about as many, so a rare label is learned however large the table is. Null or empty
+    texts and null labels teach nothing. The driver gets one row per language and feature.
     """
     labelled = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & (F.col(lang_col) != UNKNOWN))
     if held_out is not None:
         labelled = labelled.filter(fold_of(id_col) != held_out)
-    n = labelled.select(id_col).count()
-    share = min(1.0, most_rows / max(n, 1))
-    if share < 1:
-        labelled = labelled.filter(F.pmod(F.xxhash64(F.lit("fit"), id_col), F.lit(1 << 30)) < int(share * (1 << 30)))
+    label = F.col(lang_col).cast("string")
+    sizes = {r["lang"]: r["n"] for r in labelled.groupBy(label.alias("lang")).agg(F.count("*").alias("n")).collect()}
+    bound = label_bound(list(sizes.values()), most_rows)
+    if many := {k: n for k, n in sizes.items() if n > bound}:
+        limits = F.create_map(*(F.lit(x) for k, n in many.items() for x in (k, int(bound / n * (1 << 30)))))
+        drawn = F.pmod(F.xxhash64(F.lit("fit"), id_col, text_col), F.lit(1 << 30))
+        labelled = labelled.filter(drawn < F.coalesce(limits[label], F.lit(1 << 30)))
     counted = (
         labelled.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
         .mapInArrow(_feature_counts, "lang string, feature int, n long")

@@ -79,3 +79,15 @@ def test_languages(spark, make):
     assert {r["lang_pred"] for r in language.predict(make([(1, "abc")]).drop("lang"), none).collect()} == {"und"}
     assert re.fullmatch("[a-z]{2}", model.languages[0])
     assert language.codewords(4).shape == (4, 7) and len({tuple(r) for r in language.codewords(40)}) == 40
+
+
+def test_rare_labels_are_learned(spark):
+    rows = [(1 if k % 3 else k, f"the cat and the dog number {k} sat on the mat", "en") for k in range(4000)]
+    rows += [(10_000 + k, "der Hund und die Katze liegen auf dem Teppich", "de") for k in range(3)] + [(20_000, "ћирилица је писмо", "sr")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.fit(df, most_rows=100, held_out=None)
+    assert model.languages == ["de", "en", "sr"]
+    got = {r["lang"]: r["lang_pred"] for r in language.predict(df.filter("doc_id >= 9999"), model).collect()}
+    assert got == {"de": "de", "sr": "sr"}
+    assert language.label_bound([4000, 3, 1], 100) == 96 and language.label_bound([5, 5], 100) == 100 and language.label_bound([], 9) == 9
+    assert language.label_bound([50, 50, 50], 30) == 10 and language.label_bound([9] * 50, 30) == 1
