@@ -6,6 +6,9 @@ stage's docs; all but the last return the columns of ``documents``.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -14,6 +17,22 @@ from slowtide.llm.catalog import BOILERPLATE_PAGES, BOILERPLATE_RATIO, MIX_POWER
 from slowtide.llm.common import stored, table
 
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+COLUMNS = {"doc_id", "text", "lang", "source", "n_chars"}
+
+
+def extras_apart(stage: Stage) -> Stage:
+    """The stage, with other columns than those of ``documents`` under private names while it runs."""
+
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        private = [c if c.lower() in COLUMNS else f"extra_{k}" for k, c in enumerate(docs.columns)]
+        return stage(spark, docs.toDF(*private), sf_dir).toDF(*docs.columns)
+
+    return run_stage
+
+
+@extras_apart
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``lang`` becomes the predicted language; documents without letters or with an ambiguous language go.
 
@@ -25,12 +44,14 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return known.withColumn("lang", F.col("lang_pred")).select(docs.columns)
 
 
+@extras_apart
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Boilerplate lines of a source leave the text; ``n_chars`` follows. Every document stays."""
     cleaned = lines.drop_boilerplate_lines(docs, BOILERPLATE_RATIO, BOILERPLATE_PAGES)
     return cleaned.withColumn("n_chars", F.char_length("text").cast("long")).select(docs.columns)
 
 
+@extras_apart
 def join_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group linked by word 5-grams of Jaccard similarity 0.8 or more the smallest doc_id stays.
 
@@ -43,6 +64,7 @@ def join_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return named.filter("_once = 1").select(docs.columns).unionByName(docs.filter("doc_id IS NULL"))
 
 
+@extras_apart
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated towards the sources' target shares, in globally shuffled order."""
     return mixing.mix(docs, power=MIX_POWER, seed=MIX_SEED).select(docs.columns)

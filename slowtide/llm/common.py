@@ -27,6 +27,18 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def beside(columns: list[str], outputs: set[str]) -> list[str]:
+    """Names that ``columns`` have beside ``outputs``: one that clashes gets ``_input`` added until it is free."""
+    taken, out = {c.lower() for c in columns} | outputs, []
+    for c in columns:
+        if c.lower() in outputs:
+            while c.lower() in taken:
+                c += "_input"
+            taken.add(c.lower())
+        out.append(c)
+    return out
+
+
 def row_key(id_col: str = "doc_id", text_col: str = "text") -> list[Column]:
     """Two columns that tell rows apart: equal rows share them, and get equal results."""
     return [F.col(id_col).alias("row_id"), F.xxhash64(F.col(text_col)).alias("row_hash")]

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from slowtide.llm.common import text_slices
+from slowtide.llm.common import beside, text_slices
 from slowtide.llm.words import mixed
 
 UNKNOWN = "und"
@@ -154,10 +154,11 @@ def predict(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> Da
 
     A null text, or one without a letter, gives ``und`` with score 0, not ambiguous. With no language
     learned everything is ``und``. Ties go to the language first in order of name and are ambiguous.
+    Columns named like an output come out with ``_input`` added to their name.
     """
-    taken = {c.lower() for c in docs.columns}
-    if clash := taken & {"lang_pred", "score", "ambiguous", "_letters"}:
-        raise ValueError(f"columns clash with outputs: {sorted(clash)}")
+    names = beside(docs.columns, {"lang_pred", "score", "ambiguous", "_letters"})
+    text_col = names[[c.lower() for c in docs.columns].index(text_col.lower())]
+    docs = docs.toDF(*names)
     told = docs.sparkSession.sparkContext.broadcast(model)
     letters = F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)).alias("_letters")
     source = docs.select("*", letters)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from slowtide.llm.common import stored
+from slowtide.llm.common import beside, stored
 
 
 def uniform(seed: int, *cols: Column) -> Column:
@@ -33,14 +33,17 @@ def mix(
     distribution with that mean at a number drawn from its id and the seed: equal ids come equally
     often. Adds ``copy`` (1, 2, …) and ``shuffle_key``; rows are ordered by it, which is independent
     of the source. Null ids and sources are values like others (null source: a source of its own
-    that ``weights`` cannot name), null texts have no characters. Empty tables give no rows.
+    that ``weights`` cannot name), null texts have no characters. Empty tables give no rows. Input
+    columns named ``copy`` or ``shuffle_key`` come out with ``_input`` added to their name.
 
     The distribution is tabulated once per source, in logarithms, as far as 12 deviations and 30
     more above the mean; only that table is joined to the documents.
     """
-    if clash := {c.lower() for c in docs.columns} & {"copy", "shuffle_key", "_source", "_chars", "_cdf", "_copies"}:
-        raise ValueError(f"columns clash with outputs: {sorted(clash)}")
-    columns = docs.columns
+    names = beside(docs.columns, {"copy", "shuffle_key"})
+    # Under private names no column clashes with those made here.
+    columns = [f"in_{k}" for k in range(len(names))]
+    private = dict(zip((c.lower() for c in docs.columns), columns, strict=True))
+    docs, id_col, source_col, text_col = docs.toDF(*columns), *(private[c.lower()] for c in (id_col, source_col, text_col))
     sizes = stored(
         docs.groupBy(F.col(source_col).alias("_source")).agg(F.sum(F.coalesce(F.char_length(text_col), F.lit(0))).cast("double").alias("_chars")), "source-sizes"
     )
@@ -60,7 +63,8 @@ def mix(
     copies = joined.withColumn("_copies", F.size(F.filter("_cdf", lambda p: p < F.col("_u"))))
     repeated = copies.filter("_copies > 0").select(*columns, F.explode(F.sequence(F.lit(1), "_copies")).alias("copy"))
     key = F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.col("copy").cast("string"))
-    return repeated.withColumn("shuffle_key", F.substring(F.md5(key.cast("binary")), 1, 16)).orderBy("shuffle_key", id_col, "copy")
+    ordered = repeated.withColumn("shuffle_key", F.substring(F.md5(key.cast("binary")), 1, 16)).orderBy("shuffle_key", id_col, "copy")
+    return ordered.toDF(*names, "copy", "shuffle_key")
 
 
 #: P(count <= k) for k = 0, 1, …, from the logarithm of P(count = k), which cannot underflow on the way.
