@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import wraps
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slowtide.llm import bpe, jaccard, language, lines, mixing
@@ -53,15 +53,16 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @extras_apart
 def join_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group linked by word 5-grams of Jaccard similarity 0.8 or more the smallest doc_id stays.
+    """Of each group linked by word 5-grams of Jaccard similarity 0.8 or more the row of smallest doc_id stays.
 
-    Equal rows are one document. A document without id can't stand for a group and stays.
+    Rows of equal id and text are one document. Rows without id are members like others and stay only where
+    no member has an id, one of them; texts without words link with nothing. Of one id, any one text stays.
     """
-    groups = jaccard.jaccard_components(docs)
-    stay = groups.filter("doc_id = component_id").select("doc_id").distinct()
-    once = F.row_number().over(Window.partitionBy("doc_id", "_hash").orderBy("doc_id"))
-    named = docs.filter("doc_id IS NOT NULL").join(stay, "doc_id").withColumn("_hash", F.xxhash64("text")).withColumn("_once", once)
-    return named.filter("_once = 1").select(docs.columns).unionByName(docs.filter("doc_id IS NULL"))
+    rows = docs.withColumn("_row", F.xxhash64("doc_id", "text"))
+    groups = jaccard.jaccard_components(rows, id_col="_row").select(F.col("doc_id").alias("_row"), F.col("component_id").alias("_group"))
+    members = rows.select("doc_id", "_row").distinct().join(groups.distinct(), "_row")
+    heads = members.groupBy("_group").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row")).alias("head"))
+    return rows.join(heads.select("head._row"), "_row").dropDuplicates(["_row"]).select(docs.columns)
 
 
 @extras_apart

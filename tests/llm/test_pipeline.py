@@ -36,6 +36,17 @@ def test_lines_go_and_length_follows(spark):
     assert corpus_pipeline.drop_lines(spark, df.limit(0), "").count() == 0
 
 
+def test_one_row_of_each_group_stays(spark):
+    a, b, c, d = (" ".join(f"{x}{k}" for k in range(60)) for x in "abcd")
+    rows = [(3, a), (5, a + " end"), (5, b), (None, a), (None, a + " more"), (None, c), (None, c + " end"), (None, c), (6, b + " end"), (9, d), (9, d), (9, d + " end"), (1, None), (2, ""), (2, "")]
+    df = table(spark, [(i, t, "en", "s") for i, t in rows])
+    out = corpus_pipeline.join_near_duplicates(spark, df, "")
+    got = [(r["doc_id"], r["text"], r["_row"]) for r in out.collect()]
+    heads = sorted(str((i, (t or "")[:1])) for i, t, _ in got)
+    assert heads == sorted(map(str, [(3, "a"), (5, "b"), (None, "c"), (9, "d"), (1, ""), (2, "")]))
+    assert (5, b, 9) in got and (3, a, 9) in got and out.columns == df.columns
+
+
 def test_mix_keeps_columns_and_ids(spark):
     df = table(spark, [(k, "abcd", "en", "big") for k in range(300)] + [(None, None, "en", "none"), (1, "xy", "en", None)])
     out = corpus_pipeline.mix_sources(spark, df, "")
