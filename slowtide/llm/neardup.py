@@ -26,17 +26,26 @@ PROBES, MISSED = 2, 1e-3
 BLOCK = 256
 
 
-def plan(n: int, dims: int) -> tuple[int, int]:
+def plan(n: int, dims: int, cosine: float = 0.9) -> tuple[int, int]:
     """Tables and rotations per bucket for ``n`` vectors: enough rotations that random vectors rarely share
-    a bucket (an eighth of a vector for each), and enough tables for ``MISSED``.
-
-    A pair of cosine 0.9 in 64 dimensions shares a bucket of two rotations with a chance of about 0.59
-    (own or probed), and each rotation more leaves about 0.59 of that.
+    a bucket (an eighth of a vector for each), and enough tables for ``MISSED`` at the given width and cosine.
     """
     width = 1 << max(1, (dims - 1).bit_length())
     rotations = max(2, math.ceil(math.log(8 * max(n, 1)) / math.log(2 * width)))
-    chance = 0.59 ** (rotations - 1)
-    return math.ceil(math.log(MISSED) / math.log(1 - chance)), rotations
+    return math.ceil(math.log(MISSED) / math.log(1 - shared_chance(dims, cosine, rotations))), rotations
+
+
+def shared_chance(dims: int, cosine: float, rotations: int, pairs: int = 512, tables: int = 16) -> float:
+    """Chance that a pair of the given cosine shares a bucket of a table (own or probed), from simulated pairs; the same each time."""
+    rng = np.random.default_rng(3)
+    a = unit_rows(rng.normal(size=(pairs, dims)))
+    side = rng.normal(size=(pairs, dims))
+    side -= (side * a).sum(axis=1, keepdims=True) * a
+    b = a if dims == 1 else cosine * a + math.sqrt(max(0.0, 1 - cosine * cosine)) * unit_rows(side)
+    machine = CrossPolytope(dims, tables, rotations, seed=5)
+    x, y = machine.buckets(a), machine.buckets(b)
+    shared = (x == y[:, :, :1]).any(axis=2) | (y == x[:, :, :1]).any(axis=2)
+    return min(max(float(shared.mean()), 1 / shared.size), 0.999)
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -112,7 +121,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.9, id_col: str = "vec_
         "vector-classes",
     )
     n, dims = classes.agg(F.count("*"), F.max(F.size("v"))).first()
-    tables, rotations = plan(n, dims or 1)
+    tables, rotations = plan(n, dims or 1, cosine)
     machine = {"tables": tables, "rotations": rotations, "seed": seed}
     placed = classes.select("c", "v").mapInArrow(_buckets(machine), "c long, code long, own boolean")
     # Only buckets where an indexed vector meets another one; blocks by a hash of the vector.

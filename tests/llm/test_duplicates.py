@@ -192,3 +192,18 @@ def test_overlaps_of_blocks(monkeypatch):
     right.append(np.array([1 << 63], dtype=np.uint64))
     assert (jaccard.overlaps(left, right) == [[len(np.intersect1d(x, y)) for y in right] for x in left]).all()
     assert (jaccard.overlaps(left, right[-1:]) == 0).all()
+
+
+def test_plan_follows_width_and_cosine():
+    assert neardup.plan(2000, 64)[0] in (7, 8, 9) and neardup.plan(1, 1)[0] >= 1
+    for dims, cosine in ((64, 0.9), (256, 0.9), (64, 0.8)):
+        tables, rotations = neardup.plan(1000, dims, cosine)
+        rng = np.random.default_rng(21)
+        a = neardup.unit_rows(rng.normal(size=(1000, dims)))
+        side = rng.normal(size=a.shape)
+        side = neardup.unit_rows(side - (side * a).sum(axis=1, keepdims=True) * a)
+        machine = neardup.CrossPolytope(dims, tables, rotations)
+        x, y = machine.buckets(a), machine.buckets(cosine * a + np.sqrt(1 - cosine**2) * side)
+        found = ((x == y[:, :, :1]) | (y == x[:, :, :1])).any(axis=(1, 2))
+        assert (~found).sum() <= 5
+    assert neardup.plan(1000, 256)[0] > neardup.plan(1000, 64)[0] and neardup.plan(1000, 64, 0.8)[0] > neardup.plan(1000, 64)[0]
