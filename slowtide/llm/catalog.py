@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slowtide.llm import bpe, chat, fingerprint, jaccard, language, lines, mixing, neardup, substrings, tokencount
+from slowtide.llm import bpe, chat, fingerprint, jaccard, language, lines, mixing, neardup, periodic, substrings, tokencount
 from slowtide.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -142,3 +142,9 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_token_counts")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.token_counts(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+@query("op11_periodic_runs")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return periodic.runs_report(docs.withColumn("text", periodic.stuttered(F.col("text"), F.col("doc_id"))))
