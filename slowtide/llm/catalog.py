@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slowtide.llm import bpe, chat, fingerprint, jaccard, language, lines, mixing, neardup, periodic, substrings, tokencount
+from slowtide.llm import bpe, chat, fingerprint, jaccard, language, lines, mixing, neardup, periodic, search, substrings, tokencount
 from slowtide.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -148,3 +148,27 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return periodic.runs_report(docs.withColumn("text", periodic.stuttered(F.col("text"), F.col("doc_id"))))
+
+
+SEARCH_SQL = r"""
+WITH lowered AS (SELECT doc_id, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+split AS (SELECT doc_id, regexp_extract_all(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM lowered WHERE text IS NOT NULL),
+docs AS (SELECT row_number() OVER () AS r, doc_id, terms, CAST(len(terms) AS BIGINT) AS n FROM split WHERE len(terms) > 0),
+corpus AS (SELECT CAST(count(*) AS BIGINT) AS big_n, CAST(sum(n) AS BIGINT) AS big_l FROM docs),
+wanted AS (
+    SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                       '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+postings AS (SELECT r, doc_id, n, term, CAST(count(*) AS BIGINT) AS tf FROM (SELECT r, doc_id, n, unnest(terms) AS term FROM docs)
+             WHERE term IN (SELECT term FROM wanted) GROUP BY r, doc_id, n, term),
+weights AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * big_n + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w FROM postings, corpus GROUP BY term, big_n),
+scored AS (
+    SELECT item_id, r, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * big_n) // big_l)))) AS BIGINT) AS score
+    FROM wanted JOIN postings USING (term) JOIN weights USING (term), corpus GROUP BY item_id, r, doc_id),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+
+@query("op13_ranked_search", SEARCH_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
