@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slowtide.llm import bpe, chat, fingerprint, jaccard, language, lines, mixing, neardup, periodic, search, substrings, tokencount
+from slowtide.llm import bpe, chat, fingerprint, jaccard, language, lines, mixing, neardup, periodic, search, substrings, tokencount, warc
 from slowtide.llm.common import table
+from slowtide.session import fresh_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -150,6 +151,22 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.runs_report(docs.withColumn("text", periodic.stuttered(F.col("text"), F.col("doc_id"))))
 
 
+WARC_SQL = f"""
+WITH sized AS (SELECT page_id, coalesce(html, '') AS html, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes FROM pages),
+heads AS (SELECT *, CASE WHEN payload_bytes >= {warc.LEAST_BYTES} THEN max(page_id) OVER (PARTITION BY html) END AS head FROM sized),
+typed AS (SELECT *, CASE WHEN head IS DISTINCT FROM page_id THEN head END AS refers_to FROM heads)
+SELECT page_id, payload_bytes, sha1(html) AS payload_digest, CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type, refers_to
+FROM typed
+"""
+
+
+@query("op12_warc_round_trip", WARC_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_folder(spark, "warc")
+    warc.write_pages(table(spark, sf_dir, "pages"), path)
+    return warc.page_report(warc.read_archives(spark, path))
+
+
 SEARCH_SQL = r"""
 WITH lowered AS (SELECT doc_id, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
 split AS (SELECT doc_id, regexp_extract_all(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM lowered WHERE text IS NOT NULL),
