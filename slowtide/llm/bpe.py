@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slowtide.llm.common import bit_filter, stored, text_slices
+from slowtide.llm.common import Shipped, bit_filter, stored, text_slices
 from slowtide.llm.tokenizer import Encoder
 from slowtide.llm.words import mixed
 
@@ -189,7 +189,7 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, outputs: list[str], c
     source = docs.select(*named, F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     kept = source.columns[:-1]
     again = source.select("text").mapInArrow(_digest_counts, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).filter("n > 1")
-    told = spark.sparkContext.broadcast(bit_filter(again, "h", filter_bits))
+    told = Shipped(spark, bit_filter(again, "h", filter_bits))
 
     carried = ", ".join(f"{c} {t}" for c, t in source.dtypes[:-1])
     asked = ", ".join(f"{c} {OUTPUTS[c]}" for c in outputs)

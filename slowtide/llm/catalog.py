@@ -45,6 +45,7 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"), tokenizer_path(), ["n_tokens", "ids_sha256", "decoded_sha256"], ["doc_id"])
 
 
+# Ids are distinct in the given tables, so no row needs the number that repeated rows get.
 MIX_SQL = f"""
 WITH sizes AS (SELECT source, CAST(sum(coalesce(length(text), 0)) AS DOUBLE) AS chars FROM documents GROUP BY source),
 rates AS (
@@ -54,10 +55,10 @@ steps AS (SELECT source, rate, unnest(generate_series(0, CAST(ceil(rate + 12 * s
 cdf AS (SELECT source, sum(exp(k * ln(rate) - rate - lgamma(k + 1))) OVER (PARTITION BY source ORDER BY k) AS p FROM steps),
 tables AS (SELECT source, list(p) AS ps FROM cdf GROUP BY source),
 drawn AS (
-    SELECT d.*, len(list_filter(ps, lambda p: p < (CAST('0x' || substr(md5('{MIX_SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 13) AS BIGINT) + 0.5) / 4503599627370496.0)) AS copies
+    SELECT d.*, len(list_filter(ps, lambda p: p < (CAST('0x' || substr(md5('{MIX_SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))), 1, 13) AS BIGINT) + 0.5) / 4503599627370496.0)) AS copies
     FROM documents d JOIN tables t ON d.source IS NOT DISTINCT FROM t.source)
 SELECT doc_id, text, lang, source, n_chars, CAST(copy AS INTEGER) AS copy,
-       substr(md5('{MIX_SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || copy), 1, 16) AS shuffle_key
+       substr(md5('{MIX_SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, '')) || ':' || copy), 1, 16) AS shuffle_key
 FROM (SELECT *, unnest(generate_series(1, copies)) AS copy FROM drawn)
 """
 

@@ -98,6 +98,17 @@ def bit_filter(hashes: DataFrame, column: str, bits: int) -> BitFilter:
     return BitFilter(bits, out)
 
 
+class Shipped:
+    """A filter as a broadcast of plain values, which workers read without this package."""
+
+    def __init__(self, spark: SparkSession, made: BitFilter) -> None:
+        self._plain = spark.sparkContext.broadcast((made.bits, made.words))
+
+    @property
+    def value(self) -> BitFilter:
+        return BitFilter(*self._plain.value)
+
+
 def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
     """Tables of complete groups, and where each group begins and ends, from batches sorted by ``keys``.
 

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slowtide.llm.common import BitFilter, bit_filter, stored, text_slices, whole_groups
+from slowtide.llm.common import BitFilter, Shipped, bit_filter, stored, text_slices, whole_groups
 from slowtide.llm.components import components
 from slowtide.llm.words import Hasher
 
@@ -202,10 +202,10 @@ def _graph(source: DataFrame, threshold: Threshold, words: int, filter_bits: int
     """Rows (doc_id, n_shingles, key, …) of the documents, and rows (node, root) of the set keys that link with others."""
     spark = source.sparkSession
     often = bit_filter(source.select("text").mapInArrow(_frequent(words), "h long").distinct(), "h", filter_bits)
-    frequent = spark.sparkContext.broadcast(often)
+    frequent = Shipped(spark, often)
     seen = source.select("text").mapInArrow(_cell_keys(threshold, words, frequent), "cell long, least long, most long")
     cells = stored(seen.groupBy("cell").agg(F.min("least").alias("least"), F.max("most").alias("most")).filter("least < most"), "jaccard-cells")
-    told = spark.sparkContext.broadcast(bit_filter(cells, "cell", filter_bits))
+    told = Shipped(spark, bit_filter(cells, "cell", filter_bits))
     schema = "doc_id long, n_shingles long, key long, cells array<long>, point binary"
     points = stored(source.mapInArrow(_points(threshold, words, frequent, told), schema), "jaccard-points")
     sets = stored(points.filter("point IS NOT NULL").select("key", "n_shingles", "cells", "point").dropDuplicates(["key"]), "jaccard-sets")
@@ -256,7 +256,7 @@ def _link_counts(sizes: DataFrame, graph: DataFrame, source: DataFrame, words: i
     cells = dealt.select("root", "key", "size", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).select(
         "root", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "key", "size"
     )
-    named = source.sparkSession.sparkContext.broadcast(bit_filter(dealt, "key", filter_bits))
+    named = Shipped(source.sparkSession, bit_filter(dealt, "key", filter_bits))
     whole = source.select("text").mapInArrow(_sets(words, named), "key long, shingles binary").dropDuplicates(["key"])
     ordered = cells.join(whole, "key").repartition("root", "i", "j").sortWithinPartitions("root", "i", "j")
     counted = ordered.mapInArrow(_count_cells(threshold), "key long, links long").groupBy("key").agg(F.sum("links").alias("links"))
@@ -335,7 +335,7 @@ def _verified(pairs: DataFrame, source: DataFrame, words: int, threshold: Thresh
     """Those of the pairs (a, b) of set keys that link, by the shingles of the documents that stand in them."""
     spark = source.sparkSession
     pairs = stored(pairs, "jaccard-pairs")
-    named = spark.sparkContext.broadcast(bit_filter(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "key", filter_bits))
+    named = Shipped(spark, bit_filter(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "key", filter_bits))
     # Both joins read the one exchange by key.
     whole = source.select("text").mapInArrow(_sets(words, named), "key long, shingles binary").dropDuplicates(["key"])
     left = pairs.join(whole.select(F.col("key").alias("a"), F.col("shingles").alias("x")), "a")

@@ -72,6 +72,13 @@ class LanguageModel:
             if len(on) and len(off):
                 self.weights[b] = np.log(on.mean(axis=0)) - np.log(off.mean(axis=0))
 
+    @classmethod
+    def restored(cls, fields: dict) -> "LanguageModel":
+        """The model with these fields, as ``vars`` gives them."""
+        out = cls.__new__(cls)
+        vars(out).update(fields)
+        return out
+
     def predict(self, column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
         """For slices of texts: first row, number of the language, score, and whether it is ambiguous."""
         for first, flat, ends in text_slices(column):
@@ -159,7 +166,8 @@ def predict(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> Da
     names = beside(docs.columns, {"lang_pred", "score", "ambiguous", "_letters"})
     text_col = names[[c.lower() for c in docs.columns].index(text_col.lower())]
     docs = docs.toDF(*names)
-    told = docs.sparkSession.sparkContext.broadcast(model)
+    # Plain values, which workers read without this package.
+    told = docs.sparkSession.sparkContext.broadcast(vars(model))
     letters = F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)).alias("_letters")
     source = docs.select("*", letters)
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields), "lang_pred string, score double, ambiguous boolean"])
@@ -167,7 +175,7 @@ def predict(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> Da
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            known = told.value
+            known = LanguageModel.restored(told.value)
             best, score, near = np.full(len(batch), -1), np.zeros(len(batch)), np.zeros(len(batch), dtype=bool)
             for first, *found in known.predict(batch[text_col]):
                 for whole, part in zip((best, score, near), found, strict=True):

@@ -30,8 +30,8 @@ def mix(
     for); without them a source's share is its characters to the ``power``. The mean repetition rate
     of a source is epochs * all characters * share / its characters; a source without any
     characters keeps each document once. How often a document comes is the inverse of the Poisson
-    distribution with that mean at a number drawn from its id and the seed: equal ids come equally
-    often. Adds ``copy`` (1, 2, …) and ``shuffle_key``; rows are ordered by it, which is independent
+    distribution with that mean at a number drawn from the seed, its id and a digest of its text; rows
+    that repeat both draw each for themselves, by their place in the input. Adds ``copy`` (1, 2, …) and ``shuffle_key``; rows are ordered by it, which is independent
     of the source. Null ids and sources are values like others (null source: a source of its own
     that ``weights`` cannot name), null texts have no characters. Empty tables give no rows. Input
     columns named ``copy`` or ``shuffle_key`` come out with ``_input`` added to their name.
@@ -58,12 +58,19 @@ def mix(
     mean = F.lit(epochs * (all_chars or 0.0)) * F.col("_weight") / F.lit(all_weights or 1.0) / F.col("_chars")
     rates = shares.select("_source", F.when(F.col("_chars") == 0, F.lit(1.0)).otherwise(mean).alias("_rate"))
     tables = rates.filter("_rate > 0").select("_source", F.expr(_CDF).alias("_cdf"))
-    drawn = uniform(seed, F.coalesce(F.col(id_col).cast("string"), F.lit("")))
+    digest = F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary"))
+    docs = docs.withColumn("_row", F.concat_ws(":", F.coalesce(F.col(id_col).cast("string"), F.lit("")), digest))
+    # Only rows that repeat need a number of their own; the table of them is stored, so that its size decides how it is joined.
+    repeats = stored(docs.groupBy(F.xxhash64("_row").alias("_again")).agg(F.count("*").alias("_n")).filter("_n > 1").select("_again"), "mix-repeats")
+    numbered = docs.withColumn("_place", F.monotonically_increasing_id()).join(repeats, F.xxhash64("_row") == F.col("_again"), "left")
+    place = F.when(F.col("_again").isNotNull(), F.col("_place").cast("string"))
+    docs = numbered.withColumn("_row", F.concat_ws(":", "_row", place)).drop("_place", "_again")
+    drawn = uniform(seed, F.col("_row"))
     joined = docs.join(tables, docs[source_col].eqNullSafe(tables["_source"])).withColumn("_u", drawn)
     copies = joined.withColumn("_copies", F.size(F.filter("_cdf", lambda p: p < F.col("_u"))))
-    repeated = copies.filter("_copies > 0").select(*columns, F.explode(F.sequence(F.lit(1), "_copies")).alias("copy"))
-    key = F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.col("copy").cast("string"))
-    ordered = repeated.withColumn("shuffle_key", F.substring(F.md5(key.cast("binary")), 1, 16)).orderBy("shuffle_key", id_col, "copy")
+    repeated = copies.filter("_copies > 0").select(*columns, "_row", F.explode(F.sequence(F.lit(1), "_copies")).alias("copy"))
+    key = F.concat_ws(":", F.lit(str(seed)), "_row", F.col("copy").cast("string"))
+    ordered = repeated.withColumn("shuffle_key", F.substring(F.md5(key.cast("binary")), 1, 16)).drop("_row").orderBy("shuffle_key", id_col, "copy")
     return ordered.toDF(*names, "copy", "shuffle_key")
 
 

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slowtide.llm.common import BitFilter, bit_filter, stored, text_slices
+from slowtide.llm.common import BitFilter, Shipped, bit_filter, stored, text_slices
 from slowtide.llm.words import Hasher, Runs
 
 WINDOW = 50
@@ -172,7 +172,7 @@ def remove_repeats(docs: DataFrame, outputs: list[str], window: int = WINDOW, id
         if level == 2:
             repeated = stored(repeated.select("h", "least"), "repeated-windows")
         survivors = bit_filter(repeated, "h", filter_bits)
-        filters.append(spark.sparkContext.broadcast(survivors))
+        filters.append(Shipped(spark, survivors))
         if survivors.empty:
             break
     # Without survivors no window is repeated, and the same step finds no hit.

@@ -34,6 +34,15 @@ def test_mix_reaches_target_shares(spark):
     assert many == pytest.approx(20_020, rel=0.05)
 
 
+def test_rows_without_id_and_repeated_rows_draw_for_themselves(spark):
+    rows = [(None, f"t{k:03d}", "no id") for k in range(600)] + [(None, "same", "no id") for _ in range(600)] + [(5, "copy", "one id") for _ in range(1200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    out = mixing.mix(df, weights={"no id": 1.0, "one id": 3.0}, seed=3)
+    n = {(r["source"], r["same"]): r["n"] for r in out.groupBy("source", (F.col("text") == "same").alias("same")).agg(F.count("*").alias("n")).collect()}
+    assert n["no id", False] == pytest.approx(300, rel=0.25) and n["no id", True] == pytest.approx(300, rel=0.25)
+    assert n["one id", False] == pytest.approx(1800, rel=0.1)
+
+
 def test_snapshots_collapse(spark):
     rows = [(1, 0, "user", "a"), (2, 0, "user", "a"), (2, 1, "bot", "b"), (3, 5, "user", "a"), (3, 6, "bot", "b"), (4, 0, "user", "c"), (4, 0, "user", "c"), (5, None, None, None), (None, 0, "user", "z")]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
