@@ -12,6 +12,8 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 import __spark_entry__ as entry  # noqa: E402
 import verify  # noqa: E402
 
+from slowtide.catalog import ORACLES, QUERIES  # noqa: E402
+
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 # Queries that fit a model have no SQL counterpart.
 ROWS_ONLY = {"ml4_ml7_train_delay_classifier", "ml5_score_latest_and_batch", "st2_stream_scores", "flow_train_predict_monitor"}
@@ -33,17 +35,18 @@ def con():
 
 
 def test_only_model_fits_lack_sql():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == ROWS_ONLY
-    assert set(entry.oracle_sql()) <= set(entry.queries())
+    assert set(QUERIES) - set(ORACLES) == ROWS_ONLY
+    assert set(ORACLES) <= set(QUERIES)
+    assert set(QUERIES) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, con, name):
-    df = entry.queries()[name](spark, SF_DIR)
+    df = QUERIES[name](spark, SF_DIR)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan and "EvalPython" not in plan
     got, names = verify.rows_of(df.columns, [tuple(r) for r in df.collect()])
-    sql = entry.oracle_sql().get(name)
+    sql = ORACLES.get(name)
     if sql is None:
         assert got
         return
