@@ -78,7 +78,7 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(evaluation.pr_curve(scored(spark, sf)))
 
 
-# A score with many distinct values, so that the curve spans several segments.
+# A score with many distinct values; the tests of the curve cut such scores in ranges.
 _FINE_SQL = "(SELECT CASE WHEN is_error = 1 THEN 1 ELSE 0 END AS true_label, response_time / (response_time + 2000) AS probability FROM requests)"
 
 
@@ -90,7 +90,7 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     fine = requests(spark, sf).select(
         F.col("is_error").alias("true_label"), (F.col("response_time") / (F.col("response_time") + 2000)).alias("probability")
     )
-    curve = evaluation.pr_curve(fine, rows_per_segment=1000)
+    curve = evaluation.pr_curve(fine)
     return curve.select(F.round("threshold", 9).alias("threshold"), F.round("precision", 6).alias("precision"), F.round("recall", 6).alias("recall"))
 
 

@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from slowtide.catalog.registry import query
 from slowtide.operators.asof import asof_join
+from slowtide.operators.chunked import forward_fill_rows
 from slowtide.operators.series import bounds, bucket_aggregate, spine
 from slowtide.functions import clock
+from slowtide.session import durable
 from slowtide.sources.testdata import host_samples, requests, table
 
 
@@ -133,6 +135,31 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return asof_join(halve_precision(log.dropna()), samples, "datetime")
 
 
+@query(
+    "wn9_fill_merged_requests",
+    """WITH h AS (SELECT "timestamp", CASE WHEN sample_id % 3 <> 0 THEN cpu_percent END AS c, CASE WHEN sample_id % 4 <> 0 THEN ram_percent END AS m FROM host_samples),
+            b AS (SELECT r.event_id, r."timestamp", r.response_time, epoch_us(r."timestamp") - epoch_us(h."timestamp") AS back_us, h.c, h.m
+                  FROM requests r ASOF LEFT JOIN h ON r."timestamp" >= h."timestamp"),
+            a AS (SELECT r.event_id, epoch_us(h."timestamp") - epoch_us(r."timestamp") AS ahead_us, h.c, h.m
+                  FROM requests r ASOF LEFT JOIN h ON r."timestamp" <= h."timestamp"),
+            j AS (SELECT event_id, "timestamp", response_time,
+                         CASE WHEN ahead_us IS NULL OR back_us <= ahead_us THEN b.c ELSE a.c END AS c,
+                         CASE WHEN ahead_us IS NULL OR back_us <= ahead_us THEN b.m ELSE a.m END AS m
+                  FROM b JOIN a USING (event_id))
+       SELECT event_id, "timestamp", response_time, last_value(c IGNORE NULLS) OVER w AS "CPU", last_value(m IGNORE NULLS) OVER w AS "RAM"
+       FROM j WINDOW w AS (ORDER BY "timestamp", event_id ROWS UNBOUNDED PRECEDING)""",
+)
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    """Requests with the nearest sample, some of whose readings are missing, then filled from the request before."""
+    samples = host_samples(spark, sf).select(
+        "timestamp",
+        F.when(F.col("sample_id") % 3 != 0, F.col("cpu_percent")).alias("CPU"),
+        F.when(F.col("sample_id") % 4 != 0, F.col("ram_percent")).alias("RAM"),
+    )
+    merged = asof_join(requests(spark, sf).select("event_id", "timestamp", "response_time"), samples, "timestamp")
+    return forward_fill_rows(durable(merged), ["CPU", "RAM"], "timestamp", "event_id")
+
+
 @query("jn4_spine_join", "SELECT bucket_id, bucket, CASE WHEN \"Delay_Detected\" IS NULL THEN 1 ELSE 0 END AS is_gap FROM series")
 def _(spark: SparkSession, sf: str) -> DataFrame:
     log = requests(spark, sf)

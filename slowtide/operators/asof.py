@@ -12,11 +12,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import timedelta
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from slowtide.functions import clock
-from slowtide.operators.segments import ROWS_PER_SEGMENT, find_cuts, place
+from slowtide.operators.segments import FIRST_LEVEL, ROWS_PER_SEGMENT, RangeIndex, build_index, handed_on
+from slowtide.session import durable
 
 
 def asof_join(
@@ -29,6 +30,7 @@ def asof_join(
     tie: Sequence[str] = (),
     suffixes: tuple[str, str] = ("_x", "_y"),
     rows_per_segment: int = ROWS_PER_SEGMENT,
+    first_level: int = FIRST_LEVEL,
 ) -> DataFrame:
     """Left outer join on the nearest ``on`` (``backward``, ``forward`` or ``nearest``).
 
@@ -61,13 +63,16 @@ def asof_join(
     )
     steps = samples.select(*by, on, at.alias("at"), F.lit(0).alias("side"), "last", "first").unionByName(times)
     all_times = left.select(at.alias("at")).unionAll(right.select(at.alias("at")))
-    cuts = find_cuts(all_times, "at", rows_per_segment)
+    index = build_index(all_times, "at", rows_per_segment, first_level=first_level)
     cut = (
-        place(steps, "at", cuts)
+        index.place(steps)
         .withColumn("back", F.when(F.col("side") == 0, F.struct("at", F.col("last").alias("row"))))
         .withColumn("ahead", F.when(F.col("side") == 0, F.struct("at", F.col("first").alias("row"))))
         .drop("last", "first")
     )
+    if not index.single:
+        # Read twice from here on: by the scan and for what ranges hand on.
+        cut = durable(cut)
     within = Window.partitionBy(*by, "_segment")
     so_far = (Window.unboundedPreceding, 0)
     scanned = cut
@@ -79,8 +84,8 @@ def asof_join(
         scanned = scanned.withColumn("ahead", F.last("ahead", ignorenulls=True).over(down))
     found = scanned.where(F.col("side") == 1)
     back, ahead = F.col("back"), F.col("ahead")
-    if cuts:
-        found = found.join(_neighbours(samples, by, at, cuts), [*by, "_segment"], "left")
+    if not index.single:
+        found = found.join(neighbours(cut, by, index), [*by, "_segment"], "left")
         back, ahead = F.coalesce(back, F.col("tail")), F.coalesce(ahead, F.col("head"))
     to_back, to_ahead = F.col("at") - back["at"], ahead["at"] - F.col("at")
     if direction == "backward":
@@ -103,24 +108,10 @@ def asof_join(
     )
 
 
-def _neighbours(samples: DataFrame, by: Sequence[str], at: Column, cuts: Sequence[float]) -> DataFrame:
-    """Per range: the last right row of the ranges before it, the first of those after it.
-
-    One row per key and range, so the windows here stay as short as the list of cuts.
-    """
-    placed = place(samples.withColumn("at", at), "at", cuts)
-    edges = placed.groupBy(*by, "_segment").agg(
-        F.max_by(F.struct("at", F.col("last").alias("row")), F.col("at")).alias("tail"),
-        F.min_by(F.struct("at", F.col("first").alias("row")), F.col("at")).alias("head"),
-    )
-    # Ranges without a right row must appear too.
-    every = edges.select(*by).distinct() if by else samples.sparkSession.range(1)
-    ranges = every.select(*by, F.explode(F.sequence(F.lit(0), F.lit(len(cuts)))).alias("_segment"))
-    before = Window.partitionBy(*by).orderBy("_segment").rowsBetween(Window.unboundedPreceding, -1)
-    after = Window.partitionBy(*by).orderBy(F.desc("_segment")).rowsBetween(Window.unboundedPreceding, -1)
-    return ranges.join(edges, [*by, "_segment"], "left").select(
-        *by,
-        "_segment",
-        F.last("tail", ignorenulls=True).over(before).alias("tail"),
-        F.last("head", ignorenulls=True).over(after).alias("head"),
+def neighbours(cut: DataFrame, by: Sequence[str], index: RangeIndex) -> DataFrame:
+    """Per key and range with rows: the last right row of the ranges before it, the first of those after it."""
+    edges = cut.groupBy(*by, "_coarse", "_segment").agg(
+        F.max_by("back", F.when(F.col("side") == 0, F.col("at"))).alias("tail"),
+        F.min_by("ahead", F.when(F.col("side") == 0, F.col("at"))).alias("head"),
     )
+    return handed_on(edges, by, {"tail": False, "head": True}, index)

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from slowtide.functions import clock
+from slowtide.operators.segments import FIRST_LEVEL, ROWS_PER_SEGMENT, build_index, handed_on
 from slowtide.operators.series import CHUNK
 
 
@@ -81,3 +82,36 @@ def forward_fill(
         .withColumns({c: F.coalesce(F.col(c), F.col(f"_carried_{c}")) for c in columns})
         .select(*series.columns)
     )
+
+
+def forward_fill_rows(
+    rows: DataFrame,
+    columns: Sequence[str],
+    ts: str,
+    tie: str,
+    keys: Sequence[str] = (),
+    rows_per_segment: int = ROWS_PER_SEGMENT,
+    first_level: int = FIRST_LEVEL,
+) -> DataFrame:
+    """Replace nulls by the last earlier value, over rows at irregular times; leading nulls stay null.
+
+    Rows are ordered by ``ts``, equal times by ``tie``, a number that tells them apart. They are cut in balanced
+    ranges of that order, so neither a busy hour nor one time with most of the rows lands in one task; the last
+    value of each key and range is handed on as a table. Rows without a time come last in their key, by ``tie``.
+    ``rows`` is read three times, for the ranges and the handed-on table by the columns they need only.
+    """
+    late = F.lit(1 << 62)
+    timed = rows.withColumns({"_at": F.coalesce(clock.epoch_micros(F.col(ts)), late), "_tie": F.col(tie)})
+    index = build_index(timed, "_at", rows_per_segment, tie="_tie", first_level=first_level)
+    cut = index.place(timed)
+    local = Window.partitionBy(*keys, "_segment").orderBy("_at", "_tie").rowsBetween(Window.unboundedPreceding, 0)
+    filled = cut.withColumns({c: F.last(c, ignorenulls=True).over(local) for c in columns})
+    if not index.single:
+        at = F.struct("_at", "_tie")
+        ends = cut.groupBy(*keys, "_coarse", "_segment").agg(*[F.max_by(c, F.when(F.col(c).isNotNull(), at)).alias(f"_carried_{c}") for c in columns])
+        carried = handed_on(ends, keys, {f"_carried_{c}": False for c in columns}, index).withColumnsRenamed({k: f"_key_{k}" for k in keys})
+        same = filled["_segment"] == carried["_segment"]
+        for k in keys:
+            same = same & filled[k].eqNullSafe(carried[f"_key_{k}"])
+        filled = filled.join(carried, same, "left").withColumns({c: F.coalesce(F.col(c), F.col(f"_carried_{c}")) for c in columns})
+    return filled.select(*rows.columns)

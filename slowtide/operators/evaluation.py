@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from slowtide.functions import flags
-from slowtide.operators.segments import ROWS_PER_SEGMENT, find_cuts, place
+from slowtide.operators.segments import FIRST_LEVEL, ROWS_PER_SEGMENT, build_index, summed_above
+from slowtide.session import durable
 
 # Probability ranges, left-closed and right-open.
 RANGES = [(0.0, 0.2), (0.2, 0.4), (0.4, 0.6), (0.6, 0.8), (0.8, 1.0)]
@@ -89,36 +90,29 @@ def pr_curve(
     label: str = "true_label",
     p: str = "probability",
     rows_per_segment: int = ROWS_PER_SEGMENT,
+    first_level: int = FIRST_LEVEL,
 ) -> DataFrame:
     """Precision and recall at every distinct score, predicting 1 where ``p >= threshold``.
 
-    The scores are cut in balanced ranges; a first pass totals each range, a second
-    counts per distinct score and runs from the top of its range down, starting from
-    the totals of the ranges above. The end point (precision 1, recall 0) has a null
-    threshold.
+    The input is read twice: a sketch finds balanced ranges of the scores, then the rows are counted per
+    distinct score. Each range runs from its top down, starting from the totals of the ranges above. The
+    end point (precision 1, recall 0) has a null threshold.
     """
     rows = df.where(F.col(p).isNotNull()).select(
         F.col(p).cast("double").alias("threshold"), F.col(label).cast("bigint").alias("pos")
     )
-    cuts = find_cuts(rows, "threshold", rows_per_segment)
-    placed = place(rows, "threshold", cuts)
-    # At most MAX_SEGMENTS rows.
-    totals = placed.groupBy("_segment").agg(F.count("*").alias("n"), F.sum("pos").alias("pos")).collect()
-    positives = sum(t["pos"] for t in totals)
-    inside = Window.partitionBy("_segment").orderBy(F.desc("threshold")).rowsBetween(Window.unboundedPreceding, 0)
-    running = (
-        placed.groupBy("_segment", "threshold")
-        .agg(F.count("*").alias("predicted"), F.sum("pos").alias("tp"))
-        .withColumns({"predicted": F.sum("predicted").over(inside), "tp": F.sum("tp").over(inside)})
+    index = build_index(rows, "threshold", rows_per_segment, first_level=first_level)
+    counted = durable(
+        index.place(rows).groupBy("_coarse", "_segment", "threshold").agg(F.count("*").alias("predicted"), F.sum("pos").alias("tp"))
     )
-    if len(totals) > 1:
-        above, starts = (0, 0), []
-        for t in sorted(totals, key=lambda t: -t["_segment"]):
-            starts.append((t["_segment"], *above))
-            above = (above[0] + t["n"], above[1] + t["pos"])
-        table = df.sparkSession.createDataFrame(starts, "_segment int, n_above bigint, pos_above bigint")
-        running = running.join(F.broadcast(table), "_segment").withColumns(
-            {"predicted": F.col("predicted") + F.col("n_above"), "tp": F.col("tp") + F.col("pos_above")}
+    totals = counted.groupBy("_coarse", "_segment").agg(F.sum("predicted").alias("predicted"), F.sum("tp").alias("tp"))
+    positives = totals.agg(F.sum("tp")).first()[0]
+    inside = Window.partitionBy("_segment").orderBy(F.desc("threshold")).rowsBetween(Window.unboundedPreceding, 0)
+    running = counted.withColumns({"predicted": F.sum("predicted").over(inside), "tp": F.sum("tp").over(inside)})
+    if not index.single:
+        above = summed_above(totals, ["predicted", "tp"], index)
+        running = running.join(above, "_segment").withColumns(
+            {"predicted": F.col("predicted") + F.col("above_predicted"), "tp": F.col("tp") + F.col("above_tp")}
         )
     points = running.select(
         "threshold",

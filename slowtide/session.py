@@ -64,3 +64,10 @@ def durable(df: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
     return df.checkpoint(eager=True)
+
+
+def kept_table(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` as a table in the shared folder and read it again, so that its measured size steers joins."""
+    path = fresh_folder(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
