@@ -1,188 +1,220 @@
-"""Exact quantiles of columns of any size.
-
-The built-in exact percentile keeps every distinct value of the column in one task.
-Here the wanted order statistics are first fenced in by repeated counting passes
-(map-side sketches, no shuffle of rows) until few distinct values are left between
-the fences; only those are sorted.
+"""Exact quantiles of columns of any size, for all rows or for every key at once.
+
+The built-in exact percentile keeps every distinct value of a column, or of a key, in one task. Here the
+input is read twice. The first pass sketches all columns of all keys (mergeable KLL sketches) and so fences
+in the values at the wanted ranks. The second counts: rows below and above a fence as such, rows between
+fences by value; these counts prove the fences. What is left between them, about half a percent of
+the rows, is a table of its own, narrowed further where a fence still holds too many distinct values for one
+sort. Only if a sketch was off its bound is the input read a third time, without fences.
 """
 
 from __future__ import annotations
 
-import math
-from dataclasses import dataclass, field
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from slowtide.operators.sketch import fences
+from slowtide.operators.segments import cuts_upto
+from slowtide.session import durable, kept_table
 
+#: Distinct values between two fences that are sorted in one task.
 DISTINCT_IN_ONE_SORT = 2_000_000
-_FENCES = 1000
-
-
-@dataclass
-class _Target:
-    name: str
-    expr: Column
-    probabilities: list[float]
-    n: int = 0
-    values: list[float | None] = field(default_factory=list)
-
-
-@dataclass
-class _Rank:
-    """One wanted order statistic and the fences around it (both inclusive)."""
-
-    target: _Target
-    rank: int
-    low: float
-    high: float
-    inside: int
-    distinct: int
-    below: int = 0
-    slack: int = 1
-
-
-def exact_quantiles(
-    df: DataFrame,
-    targets: dict[str, tuple[Column, list[float]]],
-    in_one_sort: int = DISTINCT_IN_ONE_SORT,
-) -> dict[str, list[float | None]]:
-    """Linear-interpolated quantiles of each expression, nulls and NaN skipped.
-
-    ``targets`` maps a name to (expression, probabilities). Only counts, fences and
-    the resulting order statistics reach the driver. A column of at most
-    ``in_one_sort`` distinct values is sorted without fences.
+#: Size of a sketch; up to as many values it is exact.
+SKETCH = 4000
+#: Share of the rows by which a fence stands off its rank: twice the sketch's bound of error.
+MARGIN = 2 * 2.296 / SKETCH**0.9021
+#: Parts in which one step of narrowing divides the values between two fences.
+_PARTS = 256
+
+Targets = dict[str, tuple[Column, list[float]]]
+
+
+def exact_quantiles(df: DataFrame, targets: Targets, in_one_sort: int = DISTINCT_IN_ONE_SORT, margin: float = MARGIN) -> dict[str, list[float | None]]:
+    """Linear-interpolated quantiles of each expression over all rows, nulls and NaN skipped.
+
+    ``targets`` maps a name to (expression, probabilities). One row reaches the driver.
     """
-    jobs = [
-        _Target(name, F.when(~F.isnan(expr.cast("double")), expr.cast("double")), list(ps))
-        for name, (expr, ps) in targets.items()
-    ]
-    xs = df.select(*[t.expr.alias(f"x{i}") for i, t in enumerate(jobs)])
-    first = xs.agg(
-        *[
-            F.struct(
-                F.count(f"x{i}").alias("n"),
-                F.approx_count_distinct(f"x{i}").alias("d"),
-                F.min(f"x{i}").alias("lo"),
-                F.max(f"x{i}").alias("hi"),
-            ).alias(f"s{i}")
-            for i in range(len(jobs))
+    row = quantiles_by(df, [], targets, in_one_sort, margin).collect()[0]
+    return {name: list(row[name]) for name in targets}
+
+
+def quantiles_by(df: DataFrame, keys: Sequence[str], targets: Targets, in_one_sort: int = DISTINCT_IN_ONE_SORT, margin: float = MARGIN) -> DataFrame:
+    """One row per key: the keys, and per target an array of its quantiles; null where a key has no value.
+
+    All columns, keys and probabilities share the passes. Null is a key like others; without keys there is one
+    row. A key with most of the rows is counted before the shuffle, and its fences hold no more values than
+    ``in_one_sort`` when they are sorted.
+    """
+    at = [f"_k{i}" for i in range(len(keys))]
+    xs = [F.when(~F.isnan(x.cast("double")), x.cast("double")) for x, _ in targets.values()]
+    rows = df.select(*[F.col(k).alias(a) for k, a in zip(keys, at, strict=True)], *[x.alias(f"x{i}") for i, x in enumerate(xs)])
+    probabilities = [list(ps) for _, ps in targets.values()]
+    fences = _Fences(rows, at, probabilities, margin)
+    found = fences.values(rows, in_one_sort)
+    if not found["proven"]:
+        found = fences.opened().values(rows, in_one_sort)
+    values = found["values"]
+    if not keys:
+        return values.select(*[F.col(f"q{i}").alias(name) for i, name in enumerate(targets)])
+    return values.select(*[F.col(a).alias(k) for k, a in zip(keys, at, strict=True)], *[F.col(f"q{i}").alias(name) for i, name in enumerate(targets)])
+
+
+def _joined(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join in which nulls are values like others."""
+    renamed = right.withColumnsRenamed({c: f"_r_{c}" for c in on})
+    same = F.lit(True)
+    for c in on:
+        same = same & left[c].eqNullSafe(renamed[f"_r_{c}"])
+    return left.join(renamed, same, how).drop(*[f"_r_{c}" for c in on])
+
+
+class _Fences:
+    """Per key and column i: the number of values n{i}, and the fences lo{i} and hi{i} of each probability."""
+
+    def __init__(self, rows: DataFrame, at: Sequence[str], probabilities: list[list[float]], margin: float) -> None:
+        self.at, self.probabilities, self.margin, self.open = list(at), probabilities, margin, False
+        measures = [
+            c
+            for i in range(len(probabilities))
+            for c in (
+                F.count(f"x{i}").alias(f"n{i}"),
+                F.min(f"x{i}").alias(f"least{i}"),
+                F.max(f"x{i}").alias(f"most{i}"),
+                F.kll_sketch_agg_double(f"x{i}", SKETCH).alias(f"s{i}"),
+            )
         ]
-    ).collect()[0]
-    wanted: dict[tuple[int, int], _Rank] = {}
-    for i, t in enumerate(jobs):
-        s = first[f"s{i}"]
-        t.n = s["n"]
-        if not t.n:
-            continue
-        for p in t.probabilities:
-            position = p * (t.n - 1)
-            for rank in {math.floor(position), math.ceil(position)}:
-                wanted[i, rank] = _Rank(t, rank, s["lo"], s["hi"], t.n, s["d"])
-    open_ranks = {k: r for k, r in wanted.items() if r.distinct > in_one_sort and r.low < r.high}
-    while open_ranks:
-        _narrow(xs, open_ranks)
-        open_ranks = {k: r for k, r in open_ranks.items() if r.distinct > in_one_sort and r.low < r.high}
-    found = _sort_between_fences(xs, wanted)
-    return {t.name: [_interpolate(found, i, t.n, p) for p in t.probabilities] for i, t in enumerate(jobs)}
-
-
-def _interpolate(found: dict[tuple[int, int], float], i: int, n: int, p: float) -> float | None:
-    if not n:
-        return None
-    position = p * (n - 1)
-    low, high = found[i, math.floor(position)], found[i, math.ceil(position)]
-    return low + (high - low) * (position - math.floor(position))
-
-
-def _between(i: int, r: _Rank) -> Column:
-    x = F.col(f"x{i}")
-    return F.when((x >= F.lit(r.low)) & (x <= F.lit(r.high)), x)
-
-
-def _narrow(xs: DataFrame, ranks: dict[tuple[int, int], _Rank]) -> None:
-    """One sketch pass that proposes tighter fences, one counting pass that proves them."""
-    keys = list(ranks)
-    sketches = fences(xs, [_between(i, ranks[i, k]) for i, k in keys], _FENCES)
-    proposals = []
-    for key, (_, marks) in zip(keys, sketches):
-        r = ranks[key]
-        at = (r.rank - r.below) / max(r.inside - 1, 1) * _FENCES
-        low = marks[max(math.floor(at) - r.slack, 0)] if at - r.slack > 0 else r.low
-        high = marks[min(math.ceil(at) + r.slack, _FENCES)] if at + r.slack < _FENCES else r.high
-        proposals.append((max(low, r.low), min(high, r.high)))
-    counts = xs.agg(
-        *[
-            F.struct(
-                F.count_if(F.col(f"x{i}") < F.lit(low)).alias("below"),
-                F.count_if(F.col(f"x{i}").between(low, high)).alias("inside"),
-                F.approx_count_distinct(F.when(F.col(f"x{i}").between(low, high), F.col(f"x{i}"))).alias("d"),
-            ).alias(f"c{n}")
-            for n, ((i, _), (low, high)) in enumerate(zip(keys, proposals))
+
+        def mark(i: int, rank: float, end: str) -> Column:
+            if not 0 < rank < 1:
+                return F.col(f"{end}{i}")
+            # A small sketch is no better than the whole range.
+            return F.when(F.col(f"n{i}") > SKETCH, F.kll_sketch_get_quantile_double(f"s{i}", F.lit(rank))).otherwise(F.col(f"{end}{i}"))
+
+        marks = [
+            c
+            for i, ps in enumerate(probabilities)
+            for c in (
+                F.col(f"n{i}"),
+                F.array(*[mark(i, p - margin, "least") for p in ps]).alias(f"lo{i}"),
+                F.array(*[mark(i, p + margin, "most") for p in ps]).alias(f"hi{i}"),
+            )
         ]
-    ).collect()[0]
-    for n, key in enumerate(keys):
-        r, c, (low, high) = ranks[key], counts[f"c{n}"], proposals[n]
-        proven = c["below"] <= r.rank < c["below"] + c["inside"]
-        if proven and (low, high) != (r.low, r.high):
-            r.low, r.high, r.below, r.inside, r.distinct = low, high, c["below"], c["inside"], c["d"]
-            r.slack = 1
-        elif r.slack >= _FENCES:
-            # The sketch cannot separate the rest any more: halve the value range instead.
-            _bisect(xs, key[0], r)
+        found = rows.groupBy(*at).agg(*measures).select(*at, *marks)
+        # One row without keys; else a table, whose size decides how it is joined.
+        self.table = kept_table(found, "fences") if at else None
+        self.row = None if at else found.first()
+        names = [f"n{i}" for i in range(len(probabilities))]
+        sizes = self.table.agg(*[F.max(n).alias(n) for n in names]).first() if at else self.row
+        self.most = max((sizes[n] or 0) for n in names)
+
+    def opened(self) -> "_Fences":
+        """The same without any limit."""
+        self.open, self.margin = True, 1.0
+        return self
+
+    def beside(self, df: DataFrame, prefixes: Sequence[str]) -> DataFrame:
+        """``df`` with the columns of its key that begin so."""
+        columns = [f"{p}{i}" for p in prefixes for i in range(len(self.probabilities))]
+        if self.table is not None:
+            return _joined(df, self.table.select(*self.at, *columns), self.at)
+        whole = {c: F.lit(self.row[c]).cast("array<double>" if c.startswith(("lo", "hi")) else "long") for c in columns}
+        return df.withColumns(whole)
+
+    def values(self, rows: DataFrame, in_one_sort: int) -> dict:
+        """``values``: the table (key, q0, q1, …); ``proven``: whether every quantile lies between its fences."""
+        counted = self._counted(rows)
+        expected = self.most * (min(1.0, 2.2 * self.margin) if self.most > SKETCH else 1.0)
+        if expected > in_one_sort:
+            spots = self._narrowed(self._spots(durable(counted)), in_one_sort)
         else:
-            r.slack = _FENCES if proven else r.slack * 4
-
-
-def _bisect(xs: DataFrame, i: int, r: _Rank) -> None:
-    x = F.col(f"x{i}")
-    middle = r.low + (r.high - r.low) / 2
-    half = xs.agg(
-        F.count_if(x < F.lit(r.low)).alias("below"),
-        F.count_if((x >= F.lit(r.low)) & (x <= F.lit(middle))).alias("left"),
-        F.max(F.when((x >= F.lit(r.low)) & (x <= F.lit(middle)), x)).alias("left_max"),
-        F.min(F.when((x > F.lit(middle)) & (x <= F.lit(r.high)), x)).alias("right_min"),
-        F.approx_count_distinct(F.when((x >= F.lit(r.low)) & (x <= F.lit(middle)), x)).alias("left_d"),
-        F.approx_count_distinct(F.when((x > F.lit(middle)) & (x <= F.lit(r.high)), x)).alias("right_d"),
-    ).first()
-    inside = r.inside
-    if r.rank < half["below"] + half["left"]:
-        r.high, r.inside, r.distinct, r.below = half["left_max"], half["left"], half["left_d"], half["below"]
-    else:
-        r.low, r.inside, r.distinct = half["right_min"], inside - half["left"], half["right_d"]
-        r.below = half["below"] + half["left"]
-
-
-def _sort_between_fences(xs: DataFrame, ranks: dict[tuple[int, int], _Rank]) -> dict[tuple[int, int], float]:
-    """Value at each rank: count per distinct value inside the fences, then a running count."""
-    if not ranks:
-        return {}
-    # Ranks of one column with the same fences share one sort.
-    groups: dict[tuple[int, float, float, int], list[int]] = {}
-    for (i, rank), r in ranks.items():
-        groups.setdefault((i, r.low, r.high, r.below), []).append(rank)
-    specs = list(groups.items())
-    candidates = F.array(
-        *[
-            F.struct(F.lit(g).alias("g"), F.when(F.col(f"x{i}").between(low, high), F.col(f"x{i}")).alias("x"))
-            for g, ((i, low, high, _), _) in enumerate(specs)
+            spots = self._spots(counted)
+        ends = self._ends(spots)
+        arrays = [
+            F.array(*[F.max(F.when((F.col("i") == i) & (F.col("k") == k), F.col("value"))) for k in range(len(ps))]).alias(f"q{i}")
+            for i, ps in enumerate(self.probabilities)
         ]
-    )
-    counted = (
-        xs.select(F.inline(candidates)).where(F.col("x").isNotNull()).groupBy("g", "x").agg(F.count("*").alias("n"))
-    )
-    upto = F.sum("n").over(Window.partitionBy("g").orderBy("x").rowsBetween(Window.unboundedPreceding, 0))
-    hit = F.lit(False)
-    for g, ((_, _, _, below), members) in enumerate(specs):
-        for rank in members:
-            at = F.lit(rank - below)
-            hit = hit | ((F.col("g") == g) & (at >= F.col("upto") - F.col("n")) & (at < F.col("upto")))
-    rows = counted.withColumn("upto", upto).where(hit).collect()
-    found: dict[tuple[int, int], float] = {}
-    for g, ((i, _, _, below), members) in enumerate(specs):
-        for rank in members:
-            for row in rows:
-                if row["g"] == g and row["upto"] - row["n"] <= rank - below < row["upto"]:
-                    found[i, rank] = row["x"]
-    return found
+        values = ends.groupBy(*self.at).agg(*arrays)
+        if self.table is None:
+            row = values.first()
+            missing = any(row[f"q{i}"][k] is None for i, ps in enumerate(self.probabilities) if self.row[f"n{i}"] for k in range(len(ps)))
+            return {"values": rows.sparkSession.createDataFrame([row], values.schema), "proven": not missing}
+        nothing = {f"q{i}": F.coalesce(f"q{i}", F.array(*[F.lit(None).cast("double")] * len(ps))) for i, ps in enumerate(self.probabilities)}
+        sizes = self.table.select(*self.at, *[f"n{i}" for i in range(len(arrays))])
+        whole = durable(_joined(sizes, values, self.at, "left").withColumns(nothing))
+        lost = [(F.col(f"n{i}") > 0) & F.exists(f"q{i}", lambda v: v.isNull()) for i in range(len(arrays))]
+        missing = whole.agg(*[F.max(x.cast("int")).alias(f"m{i}") for i, x in enumerate(lost)]).first()
+        return {"values": whole, "proven": not any(missing)}
+
+    def _counted(self, rows: DataFrame) -> DataFrame:
+        """Rows (key, i, zone, v, n): n values of column i in a zone, by value where the zone lies between any fences.
+
+        Digit k of ``zone`` to the base of three says whether the value is below the fences of probability k (0),
+        between them (1) or above (2). Every value makes one row before it is counted.
+        """
+        fenced = rows if self.open else self.beside(rows, ["lo", "hi"])
+        entries = []
+        for i, ps in enumerate(self.probabilities):
+            x, zone, inside = F.col(f"x{i}"), F.lit(0), F.lit(self.open)
+            for k in range(len(ps)):
+                if self.open:
+                    zone = zone + F.lit(3**k)
+                    continue
+                low, high = F.get(f"lo{i}", F.lit(k)), F.get(f"hi{i}", F.lit(k))
+                zone = zone + F.when(x < low, 0).when(x <= high, 1).otherwise(2) * 3**k
+                inside = inside | x.between(low, high)
+            entries.append(F.struct(F.lit(i).alias("i"), F.when(x.isNotNull(), zone.cast("long")).alias("zone"), F.when(inside, x).alias("v")))
+        stacked = fenced.select(*self.at, F.inline(F.array(*entries))).where(F.col("zone").isNotNull())
+        return stacked.groupBy(*self.at, "i", "zone", "v").agg(F.count("*").alias("n"))
+
+    def _spots(self, counted: DataFrame) -> DataFrame:
+        """Rows (key, i, k, side, v, n, place): what is below (0) or between (1) the fences, and the quantile's place."""
+        most = max(len(ps) for ps in self.probabilities)
+        chances = F.array(*[F.array(*[F.lit(float(p)) for p in ps]) for ps in self.probabilities])
+        digits = F.array(*[F.struct(F.lit(k).alias("k"), F.expr(f"zone div {3**k} % 3").alias("side")) for k in range(most)])
+        split = self.beside(counted, ["n"]).withColumn("_n", F.get(F.array(*[F.col(f"n{i}") for i in range(len(self.probabilities))]), F.col("i")))
+        spots = split.select(*self.at, "i", "v", "n", "_n", F.inline(digits)).where(F.col("side") < 2)
+        return spots.select(*self.at, "i", "k", "side", "v", "n", (F.get(F.get(chances, F.col("i")), F.col("k")) * (F.col("_n") - 1)).alias("place")).where("place >= 0")
+
+    def _ends(self, spots: DataFrame) -> DataFrame:
+        """Rows (key, i, k, value), from a running count over what is below and between the fences."""
+        group = [*self.at, "i", "k"]
+        up = Window.partitionBy(*group).orderBy("side", "v").rowsBetween(Window.unboundedPreceding, 0)
+        upto = spots.withColumn("upto", F.sum("n").over(up)).where("side = 1")
+
+        def at_rank(rank: Column) -> Column:
+            return F.max(F.when((F.col("upto") - F.col("n") <= rank) & (rank < F.col("upto")), F.col("v")))
+
+        ends = upto.groupBy(*group).agg(at_rank(F.floor("place")).alias("a"), at_rank(F.ceil("place")).alias("b"), F.max("place").alias("place"))
+        # Equal ends need no difference, which infinities do not have.
+        between = F.col("a") + (F.col("b") - F.col("a")) * (F.col("place") - F.floor("place"))
+        return ends.select(*group, F.when(F.col("a") == F.col("b"), F.col("a")).otherwise(between).alias("value"))
+
+    def _narrowed(self, spots: DataFrame, in_one_sort: int) -> DataFrame:
+        """Spots in which no group has more values between its fences than ``in_one_sort``, or the two around the quantile.
+
+        Each step parts the distinct values of all large groups by a sketch and keeps the parts that the place
+        falls in, by their counts; what is below them becomes one row.
+        """
+        group = [*self.at, "i", "k"]
+        grid = F.split(F.lit(",".join(str(j / _PARTS) for j in range(1, _PARTS))), ",").cast("array<double>")
+        many = None
+        while True:
+            sizes = kept_table(spots.groupBy(*group).agg(F.count_if(F.col("side") == 1).alias("distinct")), "sizes")
+            now = sizes.agg(F.max("distinct")).first()[0] or 0
+            if now <= max(in_one_sort, 2) or (many is not None and now >= many):
+                return spots
+            many = now
+            large = _joined(spots.where("side = 1"), sizes.where(F.col("distinct") > max(in_one_sort, 2)).select(*group), group)
+            marks = kept_table(large.groupBy(*group).agg(F.percentile_approx("v", grid, 10 * _PARTS).alias("cuts")), "marks")
+            part = F.when(F.col("side") == 0, F.lit(-1)).otherwise(F.coalesce(cuts_upto(F.col("cuts"), F.col("v")), F.lit(0)))
+            parted = durable(_joined(spots, marks, group, "left").withColumn("part", part).drop("cuts"))
+            sums = parted.groupBy(*group, "part").agg(F.sum("n").alias("n"), F.max("place").alias("place"))
+            up = Window.partitionBy(*group).orderBy("part").rowsBetween(Window.unboundedPreceding, 0)
+            upto = F.sum("n").over(up)
+            placed = sums.withColumns({"before": upto - F.col("n"), "upto": upto})
+            hit = (F.col("part") >= 0) & (F.col("before") <= F.ceil("place")) & (F.floor("place") < F.col("upto"))
+            kept = placed.where(hit)
+            inner = _joined(parted, kept.select(*group, "part"), [*group, "part"]).select(*group, "side", "v", "n", "place")
+            below = kept.groupBy(*group).agg(F.min("before").alias("n"), F.max("place").alias("place")).where("n > 0")
+            spots = durable(inner.unionByName(below.select(*group, F.lit(0).cast(inner.schema["side"].dataType).alias("side"), F.lit(None).cast("double").alias("v"), "n", "place")))

@@ -54,7 +54,7 @@ class RangeIndex:
         if self.finer is None:
             return placed.withColumn("_segment", F.col("_coarse").cast("long")).drop("_base")
         found = placed.join(self.finer, "_coarse", "left")
-        fine = F.coalesce(_cuts_upto(F.col("_cuts"), self._fine_value()), F.lit(0))
+        fine = F.coalesce(cuts_upto(F.col("_cuts"), self._fine_value()), F.lit(0))
         return found.select(*df.columns, "_coarse", (F.shiftleft(F.col("_coarse").cast("long"), 32) + fine).alias("_segment"))
 
     def _coarse(self, df: DataFrame) -> DataFrame:
@@ -123,7 +123,7 @@ def _bucket(df: DataFrame, column: str, cuts: Sequence[float], name: str) -> Dat
     return placed.withColumn(name, F.col("_placed").cast("int")).drop("_value", "_placed")
 
 
-def _cuts_upto(cuts: Column, value: Column) -> Column:
+def cuts_upto(cuts: Column, value: Column) -> Column:
     """How many of the ascending ``cuts`` are at most ``value``, by halving."""
 
     def halve(span: Column, _: Column) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from slowtide import schemas
 from slowtide.functions import clock, flags
 from slowtide.operators.chunked import forward_fill, over_halo, rolling_mean, rolling_std
-from slowtide.operators.quantiles import exact_quantiles
+from slowtide.operators.quantiles import exact_quantiles, quantiles_by
 from slowtide.operators.series import resample
 from slowtide.session import durable
 
@@ -99,13 +99,10 @@ def add_features(
     filled = durable(forward_fill(series.withColumn("_seen", F.col("RAM")), ["RAM"], keys))
     zero_cpu = F.coalesce("CPU", F.lit(0.0))
     if keys:
-        # Per key the sorted column is no longer than the key's own time span.
-        middle = filled.groupBy(*keys).agg(
-            F.percentile("_seen", 0.5).alias("_median"), F.percentile(zero_cpu, 0.8).alias("_cpu")
-        )
-        full = filled.join(middle, [*keys], "left").withColumn("RAM", F.coalesce("RAM", "_median"))
-        full = full.join(full.groupBy(*keys).agg(F.percentile("RAM", 0.8).alias("_ram")), [*keys], "left")
-        cpu_limit, ram_limit = F.col("_cpu"), F.col("_ram")
+        middle = quantiles_by(filled, keys, {"_median": (F.col("_seen"), [0.5]), "_cpu": (zero_cpu, [0.8])})
+        full = filled.join(middle, [*keys], "left").withColumn("RAM", F.coalesce("RAM", F.get("_median", F.lit(0))))
+        full = full.join(quantiles_by(full, keys, {"_ram": (F.col("RAM"), [0.8])}), [*keys], "left")
+        cpu_limit, ram_limit = F.get("_cpu", F.lit(0)), F.get("_ram", F.lit(0))
     else:
         found = exact_quantiles(
             filled,

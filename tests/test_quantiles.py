@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from slowtide.operators.quantiles import exact_quantiles
+from slowtide.operators.quantiles import exact_quantiles, quantiles_by
 from slowtide.operators.sketch import fences
 
 PS = [0.0, 0.1, 0.25, 0.5, 0.8, 0.9, 1.0]
@@ -74,3 +75,47 @@ def test_fences_follow_the_distribution(spark):
     n, marks = fences(df, [F.col("x")], 100)[0]
     assert n == 100_000 and len(marks) == 101
     assert all(abs(m - i * 1000) < 2000 for i, m in enumerate(marks))
+
+
+def keyed(spark, rows):
+    return spark.createDataFrame([(k, None if x is None else float(x), float(y)) for k, x, y in rows], "k string, x double, y double").repartition(4)
+
+
+@pytest.mark.parametrize("limit", [2, 40, 10**6])
+def test_all_keys_at_once_equal_numpy(spark, limit):
+    rng = np.random.default_rng(4)
+    # One key holds most rows, one has a single value for half of them, one no value at all, one is null.
+    rows = [("hot", x, x * 2) for x in rng.normal(0, 1, 6000)] + [("ties", x, -x) for x in np.concatenate([np.full(300, 7.0), rng.random(300)])]
+    rows += [("none", None, 1.0), ("one", 5.0, 5.0)] + [(None, x, 0.0) for x in rng.integers(0, 9, 50)] + [(f"k{i}", i, i) for i in range(40)]
+    got = {r["k"]: r for r in quantiles_by(keyed(spark, rows), ["k"], {"a": (F.col("x"), PS), "b": (F.col("y"), [0.5])}, in_one_sort=limit).collect()}
+    assert set(got) == {k for k, _, _ in rows}
+    for key, row in got.items():
+        xs = [float(x) for k, x, _ in rows if k == key and x is not None]
+        if not xs:
+            assert row["a"] == [None] * len(PS)
+        else:
+            np.testing.assert_allclose(row["a"], np.quantile(xs, PS), rtol=1e-12, atol=1e-12)
+        np.testing.assert_allclose(row["b"], np.quantile([y for k, _, y in rows if k == key], [0.5]), rtol=1e-12, atol=1e-12)
+
+
+def read_times(spark, n, ask, margin):
+    """How often the rows are read."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield pa.RecordBatch.from_arrays(b.columns, names=["x"])
+
+    df = spark.range(0, n, 1, 4).select(((F.col("id") * 7919) % n).cast("double").alias("x")).mapInArrow(count, "x double")
+    got = ask(df, margin)
+    return got, seen.value / n
+
+
+def test_input_is_read_twice_and_three_times_when_a_sketch_is_off(spark):
+    targets = {"a": (F.col("x"), [0.1, 0.5]), "b": (F.col("x") * 2, [0.9])}
+    for margin, most in ((0.005, 2), (1e-9, 3)):
+        got, times = read_times(spark, 50_000, lambda df, m: exact_quantiles(df, targets, margin=m), margin)
+        assert got["a"] == pytest.approx([4999.9, 24999.5]) and got["b"] == pytest.approx([2 * 44999.1]) and times <= most
+        rows, times = read_times(spark, 50_000, lambda df, m: quantiles_by(df.withColumn("k", F.floor(F.col("x") / 25_000)), ["k"], targets, margin=m).orderBy("k").collect(), margin)
+        assert [r["a"][1] for r in rows] == pytest.approx([12499.5, 37499.5]) and times <= most
