@@ -9,7 +9,7 @@ from slowtide.catalog.registry import query, rounded
 from slowtide.plans import features, training
 from slowtide.session import durable, fresh_folder
 from slowtide.sources.testdata import as_requests, requests
-from slowtide.sources.readers import read_written
+from slowtide.sources.writers import read_predictions
 from slowtide.streaming import jobs
 
 
@@ -26,9 +26,7 @@ _CLOSED = """{end} <= (SELECT max("timestamp") - INTERVAL 10 MINUTE FROM request
         WHERE "Delay_Detected" IS NOT NULL AND {_CLOSED.format(end="bucket + INTERVAL 5 MINUTE")}""",
 )
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    path = fresh_folder(spark, "stream-series")
-    jobs.run_available(jobs.stream_series(request_stream(spark, sf)), path)
-    return rounded(read_written(spark, path))
+    return rounded(jobs.stream_series(request_stream(spark, sf), fresh_folder(spark, "stream-series")))
 
 
 @query(
@@ -36,13 +34,11 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     f"""SELECT date_trunc('hour', "timestamp") AS bucket, count(*) AS records, count(*) FILTER ("CPU" IS NULL) AS null_cpu, count(*) FILTER ("RAM" IS NULL) AS null_ram,
                count(*) FILTER (response_time IS NULL) AS null_response_time, count(*) FILTER ("CPU" < 0 OR "CPU" > 100) AS bad_cpu,
                count(*) FILTER ("RAM" < 0 OR "RAM" > 100) AS bad_ram, count(*) FILTER (response_time < 0) AS negative_response_time,
-               CAST(sum(is_error) AS BIGINT) AS errors
+               count(*) FILTER (is_error = 1) AS errors
         FROM requests WHERE {_CLOSED.format(end="date_trunc('hour', \"timestamp\") + INTERVAL 1 HOUR")} GROUP BY 1""",
 )
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    path = fresh_folder(spark, "stream-quality")
-    jobs.run_available(jobs.stream_quality(request_stream(spark, sf)), path)
-    return read_written(spark, path)
+    return jobs.stream_quality(request_stream(spark, sf), fresh_folder(spark, "stream-quality"))
 
 
 @query("st2_stream_scores")
@@ -51,4 +47,4 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     model = training.train(durable(features.feature_series(requests(spark, sf))))
     folder = fresh_folder(spark, "stream-scores")
     jobs.run_scoring(request_stream(spark, sf), model, folder)
-    return spark.read.parquet(f"{folder}/predictions").drop("batch")
+    return read_predictions(spark, f"{folder}/predictions")

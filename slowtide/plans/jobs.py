@@ -15,7 +15,7 @@ from slowtide import schemas
 from slowtide.functions import clock, flags
 from slowtide.operators import columns, quality, runs
 from slowtide.operators.asof import asof_join
-from slowtide.operators.slices import split_holdout
+from slowtide.operators.slices import split_holdout, tail
 from slowtide.plans import features, training
 from slowtide.plans.monitoring import health_report
 from slowtide.session import durable
@@ -45,7 +45,10 @@ def merge_server_log(
 
 
 def train_job(spark: SparkSession, raw: DataFrame, folder: str, now: Column, **options) -> str:
-    """Gates, features, hold-out, fit; then the model and its run record are stored."""
+    """Gates, features, hold-out, fit, and a trial of the stored model; then its run record is stored.
+
+    A model that fails its trial gets no record, so no job will score with it.
+    """
     status = quality.training_readiness(raw).first()["status"]
     if status != "prerequisites_ok":
         return status
@@ -69,16 +72,36 @@ def train_job(spark: SparkSession, raw: DataFrame, folder: str, now: Column, **o
         },
         {name: F.lit(value) for name, value in model.metrics.items()},
     )
+    checked = check_model(spark, f"{folder}/models/{run_id}", series, now)
+    if checked != "validation_success":
+        return checked
     runs.log_history(spark, folder, run_id, {"train_loss": model.losses})
     runs.log_run(spark, folder, row)
     low = model.metrics["final_f1"] < 0.1
     return "training_success_low_f1" if low else "training_success"
 
 
+def check_model(spark: SparkSession, path: str, series: DataFrame, now: Column, rows: int = 100) -> str:
+    """Load a stored model as scoring will, predict from the last ``rows`` buckets, and judge the answer."""
+    answer = durable(training.predict_latest(training.load_model(spark, path), tail(series, rows, "bucket_id"), now))
+    return quality.score_sanity(answer, predicted="prediction").first()["status"]
+
+
 def predict_job(
-    spark: SparkSession, raw: DataFrame, folder: str, now: Column, hours_back: float = 2, metric: str = "final_f1"
+    spark: SparkSession,
+    raw: DataFrame,
+    folder: str,
+    now: Column,
+    hours_back: float = 2,
+    metric: str = "final_f1",
+    hours_read: float = schemas.SCORING_HOURS,
 ) -> str:
-    """Predict from the last hours with the best recorded model and append to the log."""
+    """Predict from the last hours with the best recorded model; log the answer and the drift numbers of the run.
+
+    Only the last ``hours_read`` of ``raw`` are read for the features, their quantiles included. The run is named
+    by ``now``; a repeated run replaces its rows.
+    """
+    raw = columns.since_latest(raw, hours_read, "timestamp")
     status = quality.scoring_readiness(raw).first()["status"]
     if status != "health_ok":
         return status
@@ -92,7 +115,10 @@ def predict_job(
     sane = quality.score_sanity(answer, predicted="prediction").first()["status"]
     if sane != "validation_success":
         return sane
-    writers.append_predictions(answer, f"{folder}/predictions")
+    run = spark.range(1).select(F.date_format(now, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")).first()[0]
+    writers.append_predictions(answer, f"{folder}/predictions", run)
+    log = writers.read_predictions(spark, f"{folder}/predictions")
+    writers.write_run(quality.drift_numbers(series, log, tie=["probability"]), f"{folder}/drift", run)
     alert = answer.agg(F.max(flags.flag(F.col("prediction") == 1))).first()[0]
     return "prediction_success_alert" if alert else "prediction_success"
 

@@ -85,9 +85,12 @@ COMMON_TYPES = {
     "is_peak_hour": "int", "CPU": "double", "RAM": "double",
 }
 
+# Columns that validation and training need, and the hours that scoring reads.
 REQUIRED_TO_VALIDATE = ["timestamp", "response_time", "CPU", "RAM"]
 REQUIRED_TO_TRAIN = ["timestamp", "response_time", "CPU", "RAM", "is_error"]
 
+SCORING_HOURS = 24
+
 REQUEST_LOG = T.StructType(
     [
         T.StructField("event_id", T.LongType()),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,19 +24,27 @@ def as_predictions(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType) for f in schemas.PREDICTIONS])
 
 
-def append_predictions(df: DataFrame, path: str) -> None:
-    """Add rows in the shape of the prediction log; earlier rows stay."""
-    as_predictions(df).write.mode("append").parquet(path)
+def append_predictions(df: DataFrame, path: str, run: str) -> None:
+    """Add the rows of one run, named by its time or batch, to the prediction log; other runs' rows stay.
+
+    A run has a folder of its own, which its repetition replaces, so a job that runs twice leaves one set of rows.
+    """
+    write_run(as_predictions(df), path, run)
+
+
+def write_run(df: DataFrame, path: str, run: str) -> None:
+    """The rows of one run of a table with a folder per run."""
+    write_parquet(df, f"{path}/run={quote(run, safe='')}")
 
 
 def read_predictions(spark: SparkSession, path: str) -> DataFrame:
-    return read_or_empty(spark, path, schemas.PREDICTIONS)
+    return read_or_empty(spark, path, schemas.PREDICTIONS).select(*schemas.PREDICTIONS.names)
 
 
-def save_results(df: DataFrame, kind: str, options: Mapping[str, str]) -> None:
-    """Append predictions by configuration: ``parquet`` or ``jdbc``."""
+def save_results(df: DataFrame, kind: str, options: Mapping[str, str], run: str) -> None:
+    """Append one run's predictions by configuration: ``parquet`` or ``jdbc``."""
     if kind == "parquet":
-        append_predictions(df, options["path"])
+        append_predictions(df, options["path"], run)
     elif kind == "jdbc":
         as_predictions(df).write.mode("append").format("jdbc").options(**{"dbtable": "predictions", **options}).save()
     else:

@@ -2,30 +2,31 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
 
 from slowtide import schemas
 from slowtide.functions import clock, flags
 from slowtide.operators.series import fill_gaps
 from slowtide.plans.features import HEALTH_AGGS, add_features, flag_delays
 from slowtide.plans.training import DelayModel, predict_latest
-from slowtide.sources.writers import as_predictions
+from slowtide.session import durable
+from slowtide.sources.writers import append_predictions
+from slowtide.streaming.store import COMPACT, Measures, PartStore
 
-LATENESS = "10 minutes"
-_FUNCTIONS = {"max": F.max, "mean": F.avg, "sum": F.sum}
+LATENESS = timedelta(minutes=10)
+HOUR = 3600
+#: What scoring looks back on: the history that the scheduled job reads.
+HISTORY = timedelta(hours=schemas.SCORING_HOURS)
 
 
 def read_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int | None = None) -> DataFrame:
     """A parquet table as a stream: a folder with its new files, or one file.
 
-    All files that wait make one batch: files arrive in any order of event time, and rows older
-    than the watermark of the batches before are dropped. Set ``files_per_batch`` only where files
-    come in order of time.
+    All files that wait make one batch, or ``files_per_batch`` of them; the results below are the same.
     """
     reader = spark.readStream.schema(schema)
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
@@ -38,90 +39,91 @@ def read_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_
     return reader.parquet(path)
 
 
-class LateRows(RuntimeError):
-    """Rows came after the watermark had passed them and were not counted."""
+def series_measures() -> Measures:
+    """The health series, over requests with ``Delay_Detected``."""
+    return {name: (kind, F.col(column)) for name, (kind, column) in HEALTH_AGGS.items()}
 
 
-def _finish(query: StreamingQuery, allow_late: bool) -> None:
-    query.awaitTermination()
-    late = sum(s.numRowsDroppedByWatermark for p in query.recentProgress for s in p.stateOperators)
-    if late and not allow_late:
-        raise LateRows(f"{late} grouped rows were older than the watermark; read more files per batch or allow them to be late")
+def quality_measures() -> Measures:
+    """Rows, nulls and values out of range."""
+
+    def where(condition: Column) -> tuple[str, Column]:
+        return "count", F.when(condition, 1)
 
+    def outside(c: str) -> Column:
+        return (F.col(c) < 0) | (F.col(c) > 100)
+
+    return {
+        "records": ("count", F.lit(1)),
+        "null_cpu": where(F.col("CPU").isNull()),
+        "null_ram": where(F.col("RAM").isNull()),
+        "null_response_time": where(F.col("response_time").isNull()),
+        "bad_cpu": where(outside("CPU")),
+        "bad_ram": where(outside("RAM")),
+        "negative_response_time": where(F.col("response_time") < 0),
+        "errors": where(F.col("is_error") == 1),
+    }
 
-def _windowed(stream: DataFrame, step: int, lateness: str, measures: Mapping[str, Column]) -> DataFrame:
-    # A watermark needs a zoned timestamp; the wall clock is read as UTC whatever the session's zone.
-    timed = stream.withColumn("_at", clock.as_instant(F.col("timestamp"))).withWatermark("_at", lateness)
-    grouped = timed.groupBy(F.window("_at", f"{step} seconds")).agg(*[m.alias(name) for name, m in measures.items()])
-    return grouped.select(clock.from_instant(F.col("window.start")).alias("bucket"), *measures)
 
+def series_store(spark: SparkSession, folder: str, **options) -> PartStore:
+    return PartStore(spark, folder, series_measures(), schemas.BUCKET_SECONDS, **options)
 
-def stream_series(requests: DataFrame, step: int = schemas.BUCKET_SECONDS, lateness: str = LATENESS) -> DataFrame:
-    """Closed buckets of the health series; rows later than the watermark are dropped."""
-    measures = {out: _FUNCTIONS[fn](src) for out, (fn, src) in HEALTH_AGGS.items()}
-    return _windowed(flag_delays(requests), step, lateness, measures)
 
+def quality_store(spark: SparkSession, folder: str, **options) -> PartStore:
+    return PartStore(spark, folder, quality_measures(), HOUR, **options)
 
-def stream_quality(requests: DataFrame, step: int = 3600, lateness: str = LATENESS) -> DataFrame:
-    """Per hour: rows, nulls and values out of range."""
-    def outside(c: str) -> Column:
-        return F.count_if((F.col(c) < 0) | (F.col(c) > 100))
-
-    measures = {
-        "records": F.count("*"),
-        "null_cpu": F.count_if(F.col("CPU").isNull()),
-        "null_ram": F.count_if(F.col("RAM").isNull()),
-        "null_response_time": F.count_if(F.col("response_time").isNull()),
-        "bad_cpu": outside("CPU"),
-        "bad_ram": outside("RAM"),
-        "negative_response_time": F.count_if(F.col("response_time") < 0),
-        "errors": F.sum(flags.flag(F.col("is_error") == 1)).cast("bigint"),
-    }
-    return _windowed(requests, step, lateness, measures)
 
+def run_available(stream: DataFrame, store: PartStore, then=None) -> None:
+    """Add what has arrived to the store, batch by batch; ``then`` gets each batch's number after it.
+
+    No row is dropped as late: it merges into its bucket whenever it comes.
+    """
+    store.knowing(stream)
+
+    def handle(rows: DataFrame, batch: int) -> None:
+        store.add(rows, batch)
+        if then is not None:
+            then(batch)
 
-def run_available(stream: DataFrame, path: str, allow_late: bool = False) -> None:
-    """Process what has arrived and append the closed rows to a parquet table; fails on late rows unless allowed."""
     query = (
-        stream.writeStream.outputMode("append")
-        .format("parquet")
-        .option("path", path)
-        .option("checkpointLocation", f"{path}-progress")
+        stream.writeStream.foreachBatch(handle)
+        .option("checkpointLocation", f"{store.folder}/progress")
         .trigger(availableNow=True)
         .start()
     )
-    _finish(query, allow_late)
+    query.awaitTermination()
+
 
+def stream_series(requests: DataFrame, folder: str, lateness: timedelta = LATENESS, **options) -> DataFrame:
+    """Closed buckets of the health series, once all that has arrived is in the store at ``folder``."""
+    store = series_store(requests.sparkSession, folder, **options)
+    run_available(flag_delays(requests), store)
+    return store.buckets(lateness).drop("bucket_id")
 
-def score_batches(model: DelayModel, folder: str, step: int = schemas.BUCKET_SECONDS) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` step: keep the closed buckets, predict from the newest window.
 
-    Buckets are kept in one folder per batch, so a repeated batch replaces itself,
-    and its prediction too.
+def stream_quality(requests: DataFrame, folder: str, lateness: timedelta = LATENESS, **options) -> DataFrame:
+    """Per closed hour: rows, nulls and values out of range."""
+    store = quality_store(requests.sparkSession, folder, **options)
+    run_available(requests, store)
+    return store.buckets(lateness).drop("bucket_id")
+
+
+def run_scoring(requests: DataFrame, model: DelayModel, folder: str, lateness: timedelta = LATENESS, history: timedelta = HISTORY, compact: int = COMPACT) -> None:
+    """After each batch, predict from the closed buckets of the last ``history`` and log it under the batch's number.
+
+    The store keeps little more than that history, so a batch reads a bounded number of buckets however long the
+    stream has run. The prediction is that of the batch job over the same hours.
     """
-    def handle(closed: DataFrame, batch: int) -> None:
-        spark = closed.sparkSession
-        closed.write.mode("overwrite").parquet(f"{folder}/buckets/batch={batch}")
-        stored = spark.read.parquet(f"{folder}/buckets").drop("batch")
-        newest = stored.agg(F.max("bucket").alias("bucket")).first()["bucket"]
+    spark = requests.sparkSession
+    store = series_store(spark, f"{folder}/buckets", keep=history + lateness + timedelta(hours=1), compact=compact)
+
+    def predict(batch: int) -> None:
+        recent = durable(store.buckets(lateness, since=history))
+        newest = recent.agg(F.max("bucket")).first()[0]
         if newest is None:
             return
-        numbered = stored.withColumn("bucket_id", clock.bucket_of(F.col("bucket"), step)).drop("bucket")
-        series = add_features(fill_gaps(numbered, step))
-        now = F.lit(newest).cast("timestamp_ntz") + F.expr(f"INTERVAL '{step}' SECOND")
-        answer = as_predictions(predict_latest(model, series, now))
-        answer.write.mode("overwrite").parquet(f"{folder}/predictions/batch={batch}")
-
-    return handle
+        series = add_features(fill_gaps(recent.drop("bucket"), schemas.BUCKET_SECONDS))
+        at = F.lit(newest).cast("timestamp_ntz") + clock.seconds(schemas.BUCKET_SECONDS)
+        append_predictions(predict_latest(model, series, at), f"{folder}/predictions", f"batch-{batch}")
 
-
-def run_scoring(requests: DataFrame, model: DelayModel, folder: str, lateness: str = LATENESS, allow_late: bool = False) -> None:
-    query = (
-        stream_series(requests, lateness=lateness)
-        .writeStream.outputMode("append")
-        .foreachBatch(score_batches(model, folder))
-        .option("checkpointLocation", f"{folder}/progress")
-        .trigger(availableNow=True)
-        .start()
-    )
-    _finish(query, allow_late)
+    run_available(flag_delays(requests), store, predict)

@@ -34,10 +34,10 @@ def test_jdbc_options():
 
 def test_results_go_where_the_configuration_says(spark, tmp_path):
     row = spark.createDataFrame([(datetime(2024, 1, 1), 1, 0.9, "High")], schemas.PREDICTIONS)
-    writers.save_results(row, "parquet", {"path": str(tmp_path / "p")})
+    writers.save_results(row, "parquet", {"path": str(tmp_path / "p")}, "r")
     assert writers.read_predictions(spark, str(tmp_path / "p")).count() == 1
     with pytest.raises(ValueError, match="unknown sink"):
-        writers.save_results(row, "pigeon", {})
+        writers.save_results(row, "pigeon", {}, "r")
 
 
 def test_unknown_source_is_refused(spark):
@@ -60,8 +60,8 @@ def test_recent_window_prunes_and_filters_in_the_scan(spark, tmp_path):
 def test_appending_keeps_earlier_predictions(spark, tmp_path):
     path = str(tmp_path / "p")
     row = spark.createDataFrame([(datetime(2024, 1, 1), 1, 0.9, "High")], schemas.PREDICTIONS)
-    writers.append_predictions(row, path)
-    writers.append_predictions(row, path)
+    for run in ("2024-01-31T00:00:00", "b/c", "b/c"):
+        writers.append_predictions(row, path, run)
     assert readers.read_written(spark, path).count() == 2 and writers.read_predictions(spark, path).schema == schemas.PREDICTIONS
 
 
