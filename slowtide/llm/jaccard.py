@@ -44,6 +44,8 @@ FILTER_BITS = 25
 BLOCK, FANOUT = 512, 16
 #: Sets, and shingles on average, of a block of a component, and columns of shared shingles counted at a time.
 PART_SETS, PART_SHINGLES, COLUMNS = 256, 1 << 19, 4096
+#: Cells of sets that a task hands on at a time.
+CELLS_AT_A_TIME = 1 << 16
 #: Documents of one batch that make a shingle frequent.
 FREQUENT = 4
 
@@ -391,6 +393,7 @@ def _frequent(words: int):
                     many, counts = both, np.bincount(at, weights=np.concatenate([counts, n]), minlength=len(both)).astype(np.int64)
                     waiting, size = [], 0
             yield pa.RecordBatch.from_arrays([pa.array(many[counts >= FREQUENT].view(np.int64))], ["h"])
+            pa.default_memory_pool().release_unused()
 
     return work
 
@@ -399,22 +402,31 @@ def _cell_keys(threshold: Threshold, words: int, frequent):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             known: set[int] = set()
-            cells, keys = [], []
+            cells, keys, size = [], [], 0
             for _, shingles in shingle_sets(batch["text"], words):
                 key = set_key(shingles)
                 if key is not None and key not in known:
                     known.add(key)
                     own = threshold.cells(shingles, frequent.value)
-                    cells.append(own)
-                    keys.append(np.full(len(own), key, dtype=np.int64))
-            if not cells:
-                continue
-            cell, key = np.concatenate(cells).view(np.int64), np.concatenate(keys)
-            yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(key), pa.array(key)], ["cell", "least", "most"])
+                    cells.append(own.copy())
+                    keys.append(key)
+                    size += len(own)
+                if size > CELLS_AT_A_TIME:
+                    yield _cell_rows(cells, keys)
+                    cells, keys, size = [], [], 0
+            if cells:
+                yield _cell_rows(cells, keys)
+            pa.default_memory_pool().release_unused()
 
     return work
 
 
+def _cell_rows(cells: list[np.ndarray], keys: list[int]) -> pa.RecordBatch:
+    cell = pa.array(np.concatenate(cells).view(np.int64))
+    key = pa.array(np.repeat(np.array(keys, dtype=np.int64), [len(c) for c in cells]))
+    return pa.RecordBatch.from_arrays([cell, key, key], ["cell", "least", "most"])
+
+
 def _points(threshold: Threshold, words: int, frequent, told):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["doc_id", "n_shingles", "key", "cells", "point"]
