@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slowtide.llm.common import BitFilter, Shipped, bit_filter, stored, text_slices, whole_groups
+from slowtide.llm.common import BitFilter, Shipped, batches_of, bit_filter, stored, text_slices, whole_groups
 from slowtide.llm.components import components
 from slowtide.llm.words import Hasher
 
@@ -46,7 +46,9 @@ BLOCK, FANOUT = 512, 16
 PART_SETS, PART_SHINGLES, COLUMNS = 256, 1 << 19, 4096
 #: Cells of sets that a task hands on at a time.
 CELLS_AT_A_TIME = 1 << 16
-#: Documents of one batch that make a shingle frequent.
+#: Documents that a task gets at a time.
+BATCH_ROWS = 2000
+#: Documents of one task that make a shingle frequent.
 FREQUENT = 4
 
 
@@ -202,6 +204,11 @@ def jaccard_join(
 
 def _graph(source: DataFrame, threshold: Threshold, words: int, filter_bits: int) -> tuple[DataFrame, DataFrame]:
     """Rows (doc_id, n_shingles, key, …) of the documents, and rows (node, root) of the set keys that link with others."""
+    with batches_of(source.sparkSession, BATCH_ROWS):
+        return _find_graph(source, threshold, words, filter_bits)
+
+
+def _find_graph(source: DataFrame, threshold: Threshold, words: int, filter_bits: int) -> tuple[DataFrame, DataFrame]:
     spark = source.sparkSession
     often = bit_filter(source.select("text").mapInArrow(_frequent(words), "h long").distinct(), "h", filter_bits)
     frequent = Shipped(spark, often)
@@ -374,26 +381,31 @@ def _sets(words: int, named):
 
 
 def _frequent(words: int):
-    """Shingles that stand in ``FREQUENT`` documents of a batch or more."""
+    """Shingles that stand in ``FREQUENT`` documents of a task or more."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        many, counts = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
+        waiting: list[np.ndarray] = []
+        size = 0
+
+        def count() -> None:
+            nonlocal many, counts, waiting, size
+            h, n = np.unique(np.concatenate(waiting), return_counts=True)
+            # Only what repeats within a portion is worth carrying on.
+            h, n = h[n > 1], n[n > 1]
+            both, at = np.unique(np.concatenate([many, h]), return_inverse=True)
+            many, counts = both, np.bincount(at, weights=np.concatenate([counts, n]), minlength=len(both)).astype(np.int64)
+            waiting, size = [], 0
+
         for batch in batches:
-            many = np.zeros(0, dtype=np.uint64)
-            counts = np.zeros(0, dtype=np.int64)
-            waiting: list[np.ndarray] = []
-            size = 0
-            for k, shingles in shingle_sets(batch["text"], words):
+            for _, shingles in shingle_sets(batch["text"], words):
                 waiting.append(shingles)
                 size += len(shingles)
-                if size > 1 << 19 or k + 1 == batch.num_rows:
-                    h, n = np.unique(np.concatenate(waiting), return_counts=True)
-                    # Only what repeats within a portion is worth carrying on.
-                    h, n = h[n > 1], n[n > 1]
-                    both, at = np.unique(np.concatenate([many, h]), return_inverse=True)
-                    many, counts = both, np.bincount(at, weights=np.concatenate([counts, n]), minlength=len(both)).astype(np.int64)
-                    waiting, size = [], 0
-            yield pa.RecordBatch.from_arrays([pa.array(many[counts >= FREQUENT].view(np.int64))], ["h"])
-            pa.default_memory_pool().release_unused()
+                if size > 1 << 19:
+                    count()
+        if waiting:
+            count()
+        yield pa.RecordBatch.from_arrays([pa.array(many[counts >= FREQUENT].view(np.int64))], ["h"])
 
     return work
 
