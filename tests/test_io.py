@@ -32,6 +32,29 @@ def test_jdbc_options():
         readers.jdbc_options("jdbc:x", partition_column="datetime")
 
 
+def test_database_scans_run_in_ranges_of_time_by_default():
+    newest = datetime(2024, 1, 31)
+    options = readers.in_ranges(readers.jdbc_options("jdbc:x"), newest, 24)
+    assert (options["partitionColumn"], options["numPartitions"]) == ("datetime", "8")
+    assert (options["lowerBound"], options["upperBound"]) == ("2024-01-30 00:00:00", "2024-01-31 00:00:00")
+    own = readers.jdbc_options("jdbc:x", partition_column="id", lower="0", upper="9", partitions=2)
+    assert readers.in_ranges(own, newest, 24) == own
+
+
+def test_all_kinds_of_source_give_one_schema(spark, tmp_path):
+    sql = "datetime timestamp_ntz, time_taken double, CPU double, RAM double, sc_status int, is_error int"
+    database = spark.createDataFrame([(datetime(2024, 1, 30, 12), 5.0, 1.0, 2.0, 200, 0), (datetime(2024, 1, 1), 5.0, 1.0, 2.0, 200, 0)], sql)
+    recent = readers.recent_window(database, clock.instant("2024-01-31 00:00:00"), 24)
+    rows = readers.as_request_log(recent)
+    writers.write_csv(rows, str(tmp_path / "c"))
+    writers.write_parquet(rows, str(tmp_path / "p"))
+    kinds = [readers.load(spark, kind, {"path": str(tmp_path / kind[0])}) for kind in ("csv", "parquet")]
+    assert all(k.dtypes == rows.dtypes for k in kinds) and rows.columns == schemas.REQUEST_LOG.names
+    for got in (rows, *kinds):
+        assert [tuple(r) for r in got.collect()] == [(None, datetime(2024, 1, 30, 12), 5.0, 1.0, 2.0, 200, 0, None)]
+    assert "Sort" not in recent._jdf.queryExecution().executedPlan().toString()
+
+
 def test_results_go_where_the_configuration_says(spark, tmp_path):
     row = spark.createDataFrame([(datetime(2024, 1, 1), 1, 0.9, "High")], schemas.PREDICTIONS)
     writers.save_results(row, "parquet", {"path": str(tmp_path / "p")}, "r")

@@ -128,6 +128,17 @@ def test_roll_up(spark, statuses, plain, strict):
     assert quality.roll_up(checks, strict=True).first()["overall_status"] == strict
 
 
+def test_components_without_a_table_are_not_monitored(spark):
+    runs = spark.createDataFrame([], "run_id string, run_ts timestamp_ntz")
+    row = health_report(log(spark, []), None, None, now()).first()
+    assert (row["model_status"], row["predictions_status"], row["recent_predictions"]) == ("not_monitored", "not_monitored", None)
+    assert row["data_status"] != "not_monitored"
+    row = health_report(None, None, runs, now()).first()
+    assert (row["data_status"], row["model_status"], row["overall_status"]) == ("not_monitored", "no_model", "CRITICAL")
+    with pytest.raises(ValueError, match="nothing to report"):
+        health_report(None, None, None, now())
+
+
 def test_health_report_of_nothing(spark):
     runs = spark.createDataFrame([], "run_ts timestamp_ntz")
     row = health_report(log(spark, []), predictions(spark, []), runs, now()).first()
