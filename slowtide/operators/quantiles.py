@@ -141,7 +141,7 @@ class _Fences:
             return {"values": rows.sparkSession.createDataFrame([row], values.schema), "proven": not missing}
         nothing = {f"q{i}": F.coalesce(f"q{i}", F.array(*[F.lit(None).cast("double")] * len(ps))) for i, ps in enumerate(self.probabilities)}
         sizes = self.table.select(*self.at, *[f"n{i}" for i in range(len(arrays))])
-        whole = durable(_joined(sizes, values, self.at, "left").withColumns(nothing))
+        whole = kept_table(_joined(sizes, values, self.at, "left").withColumns(nothing), "quantiles")
         lost = [(F.col(f"n{i}") > 0) & F.exists(f"q{i}", lambda v: v.isNull()) for i in range(len(arrays))]
         missing = whole.agg(*[F.max(x.cast("int")).alias(f"m{i}") for i, x in enumerate(lost)]).first()
         return {"values": whole, "proven": not any(missing)}
