@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 import re
+from itertools import chain
 
 import numpy as np
 
@@ -74,12 +75,14 @@ def byte_alphabet() -> dict[int, str]:
 class Encoder(Splitter):
     """Token ids of texts, as the library gives them without begin, end or added tokens.
 
-    Distinct pieces go through the library once and are kept, ``most`` of them at a time.
+    Distinct pieces go through the library once and are kept, ``most`` of them at a time; those not met
+    again while half as many others came are forgotten.
     """
 
-    def __init__(self, path: str, most: int = 150_000) -> None:
+    def __init__(self, path: str, most: int = 200_000) -> None:
         super().__init__(path)
         self._known: dict[str, tuple[int, ...]] = {}
+        self._older: dict[str, tuple[int, ...]] = {}
         self._most = most
         self._joined = self.spec["decoder"] is None
         del self.spec
@@ -95,16 +98,20 @@ class Encoder(Splitter):
             return self.library.encode(text, add_special_tokens=False).ids
         pieces = self.pieces(text)
         known = self._known
-        try:
-            return [i for p in pieces for i in known[p]]
-        except KeyError:
-            if len(known) > self._most:
-                known.clear()
-            new = list({p for p in pieces if p not in known})
-            own = self._ids
-            for p, e in zip(new, self.library.encode_batch_fast(new, add_special_tokens=False), strict=True):
+        new = set(pieces).difference(known)
+        if new:
+            if len(known) > self._most // 2:
+                self._older, self._known = known, {}
+                known, new = self._known, set(pieces)
+            older, own, ask = self._older, self._ids, []
+            for p in new:
+                if (ids := older.get(p)) is None:
+                    ask.append(p)
+                else:
+                    known[p] = ids
+            for p, e in zip(ask, self.library.encode_batch_fast(ask, add_special_tokens=False), strict=True):
                 known[p] = tuple([own[i] for i in e.ids])
-            return [i for p in pieces for i in known[p]]
+        return list(chain.from_iterable(map(known.__getitem__, pieces)))
 
     def decode(self, ids: list[int]) -> str:
         """As the library's decode with special tokens kept; without a decoder that joins token strings by a space."""
