@@ -37,7 +37,7 @@ from slowtide.llm.components import components
 from slowtide.llm.words import Hasher
 
 SHINGLE_WORDS, NUMERATOR, DENOMINATOR = 5, 80, 100
-#: Coordinates of a point: about an eighth to a quarter of the set's size, a power of two between these.
+#: Coordinates of a point: from half the set's size to all of it, a power of two between these. In fewer, what differs between near sets cancels out.
 LEAST_GROUPS, GROUPS = 16, 1024
 FILTER_BITS = 25
 #: Points of a cell that meet in a task at a time, and entries of a tile.
@@ -473,7 +473,7 @@ def _points(threshold: Threshold, words: int, frequent, told):
 
 def group_counts(shingles: np.ndarray) -> np.ndarray:
     """A set's point; small sets are counted in fewer groups, unless a count then needs more than a byte."""
-    few = min(GROUPS, max(LEAST_GROUPS, 1 << (max(1, -(-len(shingles) // 8)) - 1).bit_length()))
+    few = min(GROUPS, max(LEAST_GROUPS, 1 << (max(1, -(-len(shingles) // 2)) - 1).bit_length()))
     for width in (few, GROUPS):
         counts = np.bincount((shingles & np.uint64(width - 1)).astype(np.int64), minlength=width)
         if counts.max() < 256:
