@@ -2,7 +2,7 @@
 
 Texts are cut where a rolling hash over the last sixteen bytes has its low bits zero, so equal
 passages fall into equal chunks wherever they stand. Chunks that occur again, in any document,
-are encoded once and their ids are joined back; what lies between them is encoded in its place.
+are encoded once for all their places; what lies between them is encoded in its place.
 Ids next to a joint can differ from those of the whole text, so each joint is encoded anew over a
 growing window until it agrees with both neighbours on the outermost words.
 """
@@ -24,6 +24,8 @@ from slowtide.llm.words import mixed
 LEAST_CHUNK, MEAN_BITS, MOST_CHUNK = 256, 10, 8192
 #: Size of the filter that tells which chunks may occur again: 2^FILTER_BITS bits, whatever the input.
 FILTER_BITS = 25
+#: Occurrences that make a chunk common, and groups of tasks that each have such a chunk for themselves.
+COMMON, SPREAD = 256, 32
 
 _ROLL = np.uint64(0x9E3779B97F4A7C15)
 
@@ -178,8 +180,10 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, outputs: list[str], c
        fixed size. A crowded filter sends more chunks the way of step 3, with equal results.
     2. Texts without such chunks are encoded where they are read. Of the others, such chunks become
        references and the text between them stays as it is.
-    3. Each referenced chunk is encoded once and joined to its references; a text's parts meet
-       again and their joints are repaired.
+    3. Each referenced chunk's text is joined to its references, which then follow one another, and
+       is encoded for the first of them; a text's parts meet again and their joints are repaired.
+       A common chunk is one of its own for each of ``SPREAD`` groups of tasks, so its references
+       spread over as many tasks.
     """
     clash = sorted({c.lower() for c in carry} & {*OUTPUTS, "row", "part", "digest"})
     if clash:
@@ -188,24 +192,22 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, outputs: list[str], c
     named = [F.col(c).alias(f"carry_{k}") for k, c in enumerate(carry)]
     source = docs.select(*named, F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     kept = source.columns[:-1]
-    again = source.select("text").mapInArrow(_digest_counts, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).filter("n > 1")
+    again = stored(source.select("text").mapInArrow(_digest_counts, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).filter("n > 1"), "bpe-again")
     told = Shipped(spark, bit_filter(again, "h", filter_bits))
+    common = Shipped(spark, bit_filter(again.filter(F.col("n") >= COMMON), "h", filter_bits))
 
     carried = ", ".join(f"{c} {t}" for c, t in source.dtypes[:-1])
     asked = ", ".join(f"{c} {OUTPUTS[c]}" for c in outputs)
     first = stored(
-        source.mapInArrow(_encode_or_cut(tokenizer_path, outputs, kept, told), f"{carried}, row long, part int, digest binary, text string, {asked}"),
+        source.mapInArrow(_encode_or_cut(tokenizer_path, outputs, kept, told, common), f"{carried}, row long, part int, digest binary, text string, {asked}"),
         "bpe-parts",
     )
     pending = first.filter("part IS NOT NULL")
-    shared = (
-        pending.filter("digest IS NOT NULL AND text IS NOT NULL")
-        .select("digest", "text")
-        .dropDuplicates(["digest"])
-        .mapInArrow(_encode_chunks(tokenizer_path), "digest binary, text string, ids array<int>")
-    )
-    references = pending.filter("digest IS NOT NULL").select(*kept, "row", "part", "digest").join(shared, "digest").drop("digest")
-    between = pending.filter("digest IS NULL").select(*kept, "row", "part", "text", F.lit(None).cast("array<int>").alias("ids"))
+    # The join reads the one exchange of the texts by digest; ids are made behind it, so that texts travel no second time.
+    shared = pending.filter("digest IS NOT NULL AND text IS NOT NULL").select("digest", "text").dropDuplicates(["digest"])
+    references = pending.filter("digest IS NOT NULL").select(*kept, "row", "part", "digest").join(shared, "digest")
+    references = references.sortWithinPartitions("digest").mapInArrow(_encode_chunks(tokenizer_path, kept), f"{carried}, row long, part int, text string, ids binary")
+    between = pending.filter("digest IS NULL").select(*kept, "row", "part", "text", F.lit(None).cast("binary").alias("ids"))
     together = (
         references.unionByName(between)
         .groupBy("row")
@@ -239,11 +241,12 @@ def _digest_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(n.astype(np.int64))], ["h", "n"])
 
 
-def _encode_or_cut(path: str, outputs: list[str], kept: list[str], told):
+def _encode_or_cut(path: str, outputs: list[str], kept: list[str], told, common):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        row = TaskContext.get().partitionId() << 40
+        task = TaskContext.get().partitionId()
+        row, group = task << 40, bytes([task % SPREAD])
         results, sent = None, set()
         none = [None] * len(outputs)
         kinds = [pa.int64(), pa.int32(), pa.binary(), pa.string(), *(_TYPES[OUTPUTS[c]] for c in outputs)]
@@ -262,15 +265,18 @@ def _encode_or_cut(path: str, outputs: list[str], kept: list[str], told):
                     yield flush(batch, rows)
                     rows, size = [], 0
                 size += sum(len(data) for _, data in chunks)
-                hits = told.value.has(np.array([_number(d) for d, _ in chunks], dtype=np.int64)).tolist()
+                numbers = np.array([_number(d) for d, _ in chunks], dtype=np.int64)
+                hits = told.value.has(numbers).tolist()
                 if not any(hits):
                     rows.append((k, None, None, None, None, *results.of(results.encoder.encode(text.as_py()))))
                     continue
                 row, part, run = row + 1, 0, []
-                for (digest, data), hit in zip(chunks, hits, strict=True):
+                for (digest, data), hit, many in zip(chunks, hits, common.value.has(numbers).tolist(), strict=True):
                     if not hit:
                         run.append(data)
                         continue
+                    if many:
+                        digest += group
                     if run:
                         rows.append((k, row, part, None, b"".join(run).decode(), *none))
                         run, part = [], part + 1
@@ -284,30 +290,47 @@ def _encode_or_cut(path: str, outputs: list[str], kept: list[str], told):
     return work
 
 
-def _encode_chunks(path: str):
+def packed(ids: list[int], most: int) -> bytes:
+    """Ids below ``most`` in two bytes each where these are enough for all, else in four."""
+    return np.array(ids, dtype="<u2" if most <= 1 << 16 else "<u4").tobytes()
+
+
+def unpacked(data: bytes, most: int) -> list[int]:
+    return np.frombuffer(data, dtype="<u2" if most <= 1 << 16 else "<u4").tolist()
+
+
+def _encode_chunks(path: str, kept: list[str]):
+    """Ids of each reference's chunk, from rows sorted by digest."""
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = None
-        for batch in batches:
+        encoder = last = ids = None
+        for whole in batches:
             encoder = encoder or Encoder(path)
-            ids = pa.array([encoder.encode(t) for t in batch["text"].to_pylist()], pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([batch["digest"], batch["text"], ids], ["digest", "text", "ids"])
+            for begin in range(0, whole.num_rows, 1024):
+                batch = whole.slice(begin, 1024)
+                found = []
+                for digest, text in zip(batch["digest"].to_pylist(), batch["text"], strict=True):
+                    if digest != last:
+                        last, ids = digest, packed(encoder.encode(text.as_py()), len(encoder.strings))
+                    found.append(ids)
+                yield pa.RecordBatch.from_arrays([*(batch[c] for c in [*kept, "row", "part", "text"]), pa.array(found, pa.binary())], [*kept, "row", "part", "text", "ids"])
 
     return work
 
 
 def _join_parts(path: str, outputs: list[str], kept: list[str]):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        results = joiner = None
+        results = joiner = most = None
         for whole in batches:
             if results is None:
                 results = _Results(Encoder(path), outputs)
-                joiner = Joiner(results.encoder)
+                joiner, most = Joiner(results.encoder), len(results.encoder.strings)
             for begin in range(0, whole.num_rows, 256):
                 batch = whole.slice(begin, 256)
                 rows = []
                 for parts in batch["parts"]:
                     own = [(p["text"], p["ids"]) for p in parts.as_py()]
-                    rows.append(results.of(joiner.join([(t, results.encoder.encode(t) if ids is None else ids) for t, ids in own])))
+                    rows.append(results.of(joiner.join([(t, results.encoder.encode(t) if ids is None else unpacked(ids, most)) for t, ids in own])))
                 columns = [pa.array([r[k] for r in rows], _TYPES[OUTPUTS[c]]) for k, c in enumerate(outputs)]
                 yield pa.RecordBatch.from_arrays([*(batch[c] for c in kept), *columns], [*kept, *outputs])
 

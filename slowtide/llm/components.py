@@ -9,6 +9,8 @@ from slowtide.llm.common import stored
 
 #: Rounds after which a graph must have settled; alternating stars take about log2 of the longest path.
 MOST_ROUNDS = 60
+#: Links that a round writes to a file, about.
+LINKS_PER_FILE = 1 << 18
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -16,7 +18,8 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
     Alternates two steps until nothing changes: every node's larger neighbours are hung to its smallest
     one, then its smaller neighbours are. Minima are partial sums before the shuffle, joins split hot
-    nodes, each round is written to the shared folder; the driver sees counts only. Nulls link nothing.
+    nodes, each round is written to the shared folder, in as many files as the links need; the driver
+    sees counts only. Nulls link nothing.
     """
     edges = stored(
         links.filter(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(), "links"
@@ -31,7 +34,9 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         small_least = large.groupBy("u").agg(F.min("v").alias("m"))
         hung = large.join(small_least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         own = small_least.select("u", F.col("m").alias("v"))
-        edges = stored(hung.unionByName(own).filter("u != v").distinct(), "links")
+        # No round has more links than the one before.
+        files = -(-state[0] // LINKS_PER_FILE)
+        edges = stored(hung.unionByName(own).filter("u != v").distinct().coalesce(files), "links")
         before, state = state, _state(edges)
         if before == state:
             break

@@ -69,3 +69,29 @@ def test_documents_round_trip_and_counts(spark, make, word_bpe, library):
     assert bpe.encode_documents(make([]), word_bpe, ["ids"], ["doc_id"]).count() == 0
     with pytest.raises(ValueError, match="clash"):
         bpe.encode_documents(docs.withColumnRenamed("label", "ids"), word_bpe, ["ids"], ["ids"])
+
+
+def test_texts_of_chunks_travel_once_by_digest(spark, make, word_bpe, library, monkeypatch):
+    rng = random.Random(8)
+    passage = " ".join("".join(rng.choice("abetions") for _ in range(6)) for _ in range(2000))
+    rows = [(k, f"start {k} {passage} end {k}") for k in range(40)] + [(None, passage), (40, None), (3, passage)]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for most in (2, 1 << 40):  # every shared chunk is common, or none is
+            monkeypatch.setattr(bpe, "COMMON", most)
+            got = bpe.encode_documents(make(rows).repartition(5), word_bpe, ["ids"], ["doc_id"])
+            plan = got._jdf.queryExecution().executedPlan().toString()
+            # By digest the references, and the texts before they are made one; then the parts by row.
+            assert plan.count("Exchange hashpartitioning(digest") == 2 and plan.count("Exchange hashpartitioning(row") == 1
+            want = sorted(((-1 if i is None else i, library.encode(t or "", add_special_tokens=False).ids) for i, t in rows))
+            assert sorted((-1 if r["doc_id"] is None else r["doc_id"], r["ids"]) for r in got.collect()) == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_ids_are_packed_in_the_fewest_bytes():
+    for most, size in ((1 << 16, 2), ((1 << 16) + 1, 4)):
+        ids = [0, 255, 256, most - 1]
+        assert len(bpe.packed(ids, most)) == 4 * size and bpe.unpacked(bpe.packed(ids, most), most) == ids
+    assert bpe.unpacked(bpe.packed([], 9), 9) == []
