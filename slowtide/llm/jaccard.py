@@ -8,8 +8,10 @@ share some of their first shingles: s of them among as many as a linked set may
 cell holds the documents with one such shingle; a linked pair has s cells in common, so a set that
 shares fewer cells with others links with none. The order is
 that of the hashes, but shingles that are frequent where they are read come last, so cells stay
-small; which ones count as frequent changes the cost, not the links. Cells are cut by size of set,
-and cells with the same members are one.
+small; which ones count as frequent changes the cost, not the links. Of the cells that a set has left,
+it leaves the first s - 1 in an order that puts crowded ones first: of the s common cells of a linked
+pair, neither leaves the last one in that order. Cells are cut by size of set, and cells with the same
+members are one.
 
 Lower levels, in tasks. The points of a cell are packed into a tree of tiles with the largest count
 per coordinate; pairs of tiles whose summed minima cannot reach the overlap are dropped whole, and
@@ -50,6 +52,8 @@ CELLS_AT_A_TIME = 1 << 16
 BATCH_ROWS = 2000
 #: Documents of one task that make a shingle frequent.
 FREQUENT = 4
+#: Sets that make a cell crowded.
+CROWDED = 8
 
 
 class Threshold:
@@ -75,6 +79,18 @@ class Threshold:
         late = frequent.has(shingles)
         return np.concatenate([shingles[~late], shingles[late]])[:most] if late.any() else shingles[:most]
 
+    def stayed(self, n: int, own: np.ndarray, crowded: BitFilter) -> np.ndarray:
+        """Of a set's cells that others have too, those it needs to meet every linked set in one; none if they are too few to link.
+
+        It leaves as many as any linked pair has in common less one, the first in one order of all cells.
+        """
+        least = self.shared(self.kept(n))
+        if len(own) < least:
+            return own[:0]
+        own = np.sort(own)
+        first = crowded.has(own)
+        return np.concatenate([own[first], own[~first]])[least - 1 :]
+
     def linked(self, a: np.ndarray, b: np.ndarray) -> bool:
         both = len(np.intersect1d(a, b, assume_unique=True))
         return self.den * both >= self.num * (len(a) + len(b) - both)
@@ -213,10 +229,11 @@ def _find_graph(source: DataFrame, threshold: Threshold, words: int, filter_bits
     often = bit_filter(source.select("text").mapInArrow(_frequent(words), "h long").distinct(), "h", filter_bits)
     frequent = Shipped(spark, often)
     seen = source.select("text").mapInArrow(_cell_keys(threshold, words, frequent), "cell long, least long, most long")
-    cells = stored(seen.groupBy("cell").agg(F.min("least").alias("least"), F.max("most").alias("most")).filter("least < most"), "jaccard-cells")
+    cells = stored(seen.groupBy("cell").agg(F.min("least").alias("least"), F.max("most").alias("most"), F.count("*").alias("n")).filter("least < most"), "jaccard-cells")
     told = Shipped(spark, bit_filter(cells, "cell", filter_bits))
+    crowded = Shipped(spark, bit_filter(cells.filter(F.col("n") >= CROWDED), "cell", filter_bits))
     schema = "doc_id long, n_shingles long, key long, cells array<long>, point binary"
-    points = stored(source.mapInArrow(_points(threshold, words, frequent, told), schema), "jaccard-points")
+    points = stored(source.mapInArrow(_points(threshold, words, frequent, told, crowded), schema), "jaccard-points")
     sets = stored(points.filter("point IS NOT NULL").select("key", "n_shingles", "cells", "point").dropDuplicates(["key"]), "jaccard-sets")
     members = stored(_meetings(sets.select("key", "n_shingles", F.explode("cells").alias("cell")).join(cells, "cell", "left_semi"), threshold), "jaccard-members")
 
@@ -439,7 +456,7 @@ def _cell_rows(cells: list[np.ndarray], keys: list[int]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([cell, key, key], ["cell", "least", "most"])
 
 
-def _points(threshold: Threshold, words: int, frequent, told):
+def _points(threshold: Threshold, words: int, frequent, told, crowded):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["doc_id", "n_shingles", "key", "cells", "point"]
         types = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary()]
@@ -461,8 +478,8 @@ def _points(threshold: Threshold, words: int, frequent, told):
                 if key is not None and key not in known:
                     known.add(key)
                     own = threshold.cells(shingles, frequent.value)
-                    own = own[told.value.has(own)]
-                    if len(own) >= threshold.shared(threshold.kept(len(shingles))):
+                    own = threshold.stayed(len(shingles), own[told.value.has(own)], crowded.value)
+                    if len(own):
                         row = (len(shingles), key, own.view(np.int64), point_bytes(group_counts(shingles)))
                         size += 8 * len(own) + len(row[3])
                 rows.append(row)

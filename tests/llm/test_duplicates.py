@@ -207,3 +207,52 @@ def test_plan_follows_width_and_cosine():
         found = ((x == y[:, :, :1]) | (y == x[:, :, :1])).any(axis=(1, 2))
         assert (~found).sum() <= 5
     assert neardup.plan(1000, 256)[0] > neardup.plan(1000, 64)[0] and neardup.plan(1000, 64, 0.8)[0] > neardup.plan(1000, 64)[0]
+
+
+def test_cells_that_stay_join_every_linked_pair():
+    rng = np.random.default_rng(4)
+    none, every = (BitFilter(6, np.full(1, x, dtype=np.uint64)) for x in (0, (1 << 64) - 1))
+    for num, size in ((90, 240), (80, 60), (50, 9)):
+        threshold = jaccard.Threshold(num, 100)
+        base = np.unique(rng.integers(0, 1 << 63, size, dtype=np.uint64))
+        crowded = BitFilter(16, rng.integers(0, 1 << 63, 1 << 10, dtype=np.uint64) & rng.integers(0, 1 << 63, 1 << 10, dtype=np.uint64))
+        sets = []
+        for _ in range(40):
+            gone = rng.random(len(base)) < rng.uniform(0, 1.2 * (1 - num / 100) / 2)
+            sets.append(np.unique(np.concatenate([base[~gone], rng.integers(0, 1 << 63, gone.sum(), dtype=np.uint64)])))
+        known, held = np.unique(np.concatenate(sets), return_counts=True)
+        several = set(known[held > 1].tolist())
+        linked = 0
+        for seen in (none, every, crowded):
+            cells = []
+            for s in sets:
+                own = threshold.cells(s, none)
+                own = own[[c in several for c in own.tolist()]]
+                cells.append(set(threshold.stayed(len(s), own, seen).tolist()))
+                assert len(cells[-1]) == max(0, len(own) - threshold.shared(threshold.kept(len(s))) + 1)
+            for i in range(len(sets)):
+                for j in range(i):
+                    if threshold.linked(sets[i], sets[j]):
+                        linked += 1
+                        assert cells[i] & cells[j]
+        assert linked > 100
+
+
+def test_members_of_meetings_are_fewer_than_cells_of_sets(spark, make, monkeypatch):
+    """One template in many documents: each stands in fewer cells than it has in common with others."""
+    rng = random.Random(9)
+    base = [f"w{k}" for k in range(240)]
+    rows = []
+    for k in range(120):
+        copy = list(base)
+        for at in rng.sample(range(240), 6):
+            copy[at] = f"own{k}x{at}"
+        rows.append((k, " ".join(copy)))
+    held = []
+    monkeypatch.setattr(jaccard, "stored", lambda df, label, stored=jaccard.stored: held.append((label, stored(df, label))) or held[-1][1])
+    out = jaccard.jaccard_components(make(rows), 90, 100, 3)
+    assert out.count() == 120
+    seen = dict(held)
+    threshold = jaccard.Threshold(90, 100)
+    cells = [(r["n_shingles"], len(r["cells"])) for r in seen["jaccard-sets"].collect()]
+    assert cells and all(c <= n - threshold.kept(n) + threshold.shared(n) - threshold.shared(threshold.kept(n)) + 1 for n, c in cells)
