@@ -6,7 +6,7 @@ import re
 
 import numpy as np
 
-from slowtide.llm import jaccard, neardup, substrings
+from slowtide.llm import components, jaccard, neardup, substrings
 from slowtide.llm.common import BitFilter
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -256,3 +256,17 @@ def test_members_of_meetings_are_fewer_than_cells_of_sets(spark, make, monkeypat
     threshold = jaccard.Threshold(90, 100)
     cells = [(r["n_shingles"], len(r["cells"])) for r in seen["jaccard-sets"].collect()]
     assert cells and all(c <= n - threshold.kept(n) + threshold.shared(n) - threshold.shared(threshold.kept(n)) + 1 for n, c in cells)
+
+
+def test_rounds_of_components_write_as_many_files_as_links_need(spark, monkeypatch):
+    tables = []
+    monkeypatch.setattr(components, "stored", lambda df, label, stored=components.stored: tables.append(stored(df, label)) or tables[-1])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        links = spark.createDataFrame([(k, k + 1) for k in range(60) if k != 30] + [(7, 7), (None, 3)], "a long, b long")
+        got = {tuple(r) for r in components.components(links).collect()}
+        assert got == {(k, 0 if k <= 30 else 31) for k in range(61)}
+        assert len(tables) > 2 and all(len(t.inputFiles()) == 1 for t in tables[1:])
+        assert components.components(links.limit(0)).count() == 0
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
