@@ -228,8 +228,9 @@ def _find_graph(source: DataFrame, threshold: Threshold, words: int, filter_bits
     spark = source.sparkSession
     often = bit_filter(source.select("text").mapInArrow(_frequent(words), "h long").distinct(), "h", filter_bits)
     frequent = Shipped(spark, often)
-    seen = source.select("text").mapInArrow(_cell_keys(threshold, words, frequent), "cell long, least long, most long")
-    cells = stored(seen.groupBy("cell").agg(F.min("least").alias("least"), F.max("most").alias("most"), F.count("*").alias("n")).filter("least < most"), "jaccard-cells")
+    # Dealt by cell first: most cells stand in one set, so a table of cells before the exchange would grow with a task's documents and save few rows.
+    seen = source.select("text").mapInArrow(_cell_keys(threshold, words, frequent), "cell long, least long, most long, n long").repartition("cell")
+    cells = stored(seen.groupBy("cell").agg(F.min("least").alias("least"), F.max("most").alias("most"), F.sum("n").alias("n")).filter("least < most"), "jaccard-cells")
     told = Shipped(spark, bit_filter(cells, "cell", filter_bits))
     crowded = Shipped(spark, bit_filter(cells.filter(F.col("n") >= CROWDED), "cell", filter_bits))
     schema = "doc_id long, n_shingles long, key long, cells array<long>, point binary"
@@ -428,6 +429,8 @@ def _frequent(words: int):
 
 
 def _cell_keys(threshold: Threshold, words: int, frequent):
+    """Cells of sets, each once in a portion: the least and the greatest key of its sets there, and their number."""
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             known: set[int] = set()
@@ -451,9 +454,13 @@ def _cell_keys(threshold: Threshold, words: int, frequent):
 
 
 def _cell_rows(cells: list[np.ndarray], keys: list[int]) -> pa.RecordBatch:
-    cell = pa.array(np.concatenate(cells).view(np.int64))
-    key = pa.array(np.repeat(np.array(keys, dtype=np.int64), [len(c) for c in cells]))
-    return pa.RecordBatch.from_arrays([cell, key, key], ["cell", "least", "most"])
+    cell = np.concatenate(cells).view(np.int64)
+    key = np.repeat(np.array(keys, dtype=np.int64), [len(c) for c in cells])
+    order = np.argsort(cell, kind="stable")
+    cell, key = cell[order], key[order]
+    first = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]]))
+    columns = [cell[first], np.minimum.reduceat(key, first), np.maximum.reduceat(key, first), np.diff(first, append=len(cell))]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["cell", "least", "most", "n"])
 
 
 def _points(threshold: Threshold, words: int, frequent, told, crowded):

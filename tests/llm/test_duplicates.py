@@ -270,3 +270,16 @@ def test_rounds_of_components_write_as_many_files_as_links_need(spark, monkeypat
         assert components.components(links.limit(0)).count() == 0
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_tasks_hold_no_table_of_their_cells(spark, make, monkeypatch):
+    """What a task keeps of its documents' cells does not grow with them: a portion is summed up and handed on."""
+    cells = [np.array(c, dtype=np.uint64) for c in ([9, 1 << 63, 4], [4], [4, 9, 7])]
+    got = jaccard._cell_rows(cells, [5, -3, 8]).to_pylist()
+    assert [tuple(r.values()) for r in got] == [(-(1 << 63), 5, 5, 1), (4, -3, 8, 3), (7, 8, 8, 1), (9, 5, 8, 2)]
+    plans = {}
+    monkeypatch.setattr(jaccard, "stored", lambda df, label, stored=jaccard.stored: plans.update({label: df._jdf.queryExecution().executedPlan().toString()}) or stored(df, label))
+    rows = [(k, f"a b c d e f g{k // 2}") for k in range(8)]
+    assert jaccard.jaccard_components(make(rows)).groupBy("component_id").count().collect()
+    tasks = plans["jaccard-cells"].split("Exchange")
+    assert len(tasks) == 2 and "Aggregate" in tasks[0] and "Aggregate" not in tasks[1]
