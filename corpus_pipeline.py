@@ -46,9 +46,12 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 @extras_apart
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Boilerplate lines of a source leave the text; ``n_chars`` follows. Every document stays."""
+    """Boilerplate lines of a source leave the text; ``n_chars`` follows. Every document stays.
+
+    Rows come from a join by source; they are dealt anew, or a large source would make large files and tasks of later stages.
+    """
     cleaned = lines.drop_boilerplate_lines(docs, BOILERPLATE_RATIO, BOILERPLATE_PAGES)
-    return cleaned.withColumn("n_chars", F.char_length("text").cast("long")).select(docs.columns)
+    return cleaned.withColumn("n_chars", F.char_length("text").cast("long")).select(docs.columns).repartition("doc_id", "text")
 
 
 @extras_apart

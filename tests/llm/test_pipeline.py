@@ -36,6 +36,21 @@ def test_lines_go_and_length_follows(spark):
     assert corpus_pipeline.drop_lines(spark, df.limit(0), "").count() == 0
 
 
+def test_rows_of_a_large_source_spread(spark):
+    """Later stages get tasks of even size, though boilerplate is joined by source."""
+    held = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "8"}
+    before = {k: spark.conf.get(k) for k in held}
+    for k, v in held.items():
+        spark.conf.set(k, v)
+    try:
+        df = table(spark, [(k if k % 2 else None, f"menu\nown {k}", "en", "h") for k in range(400)])
+        sizes = [len(x) for x in corpus_pipeline.drop_lines(spark, df, "").rdd.glom().collect()]
+        assert sum(sizes) == 400 and max(sizes) < 100
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_one_row_of_each_group_stays(spark):
     a, b, c, d = (" ".join(f"{x}{k}" for k in range(60)) for x in "abcd")
     rows = [(3, a), (5, a + " end"), (5, b), (None, a), (None, a + " more"), (None, c), (None, c + " end"), (None, c), (6, b + " end"), (9, d), (9, d), (9, d + " end"), (1, None), (2, ""), (2, "")]
