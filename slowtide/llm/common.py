@@ -20,11 +20,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` as a table in the shared folder and go on from there."""
+def stored(df: DataFrame, label: str, **options: str) -> DataFrame:
+    """Write ``df`` as a table in the shared folder and go on from there; ``options`` are the writer's."""
     spark = df.sparkSession
     path = fresh_folder(spark, label)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -283,3 +283,61 @@ def test_tasks_hold_no_table_of_their_cells(spark, make, monkeypatch):
     assert jaccard.jaccard_components(make(rows)).groupBy("component_id").count().collect()
     tasks = plans["jaccard-cells"].split("Exchange")
     assert len(tasks) == 2 and "Aggregate" in tasks[0] and "Aggregate" not in tasks[1]
+
+
+def test_vectors_of_many_regions_blocks_and_rounds(spark, monkeypatch):
+    """Each vector is dealt to its few nearest corners, worked out once; regions, blocks and rounds change no link."""
+    held = {}
+    monkeypatch.setattr(neardup, "stored", lambda df, label, stored=neardup.stored, **options: held.setdefault(label, []).append(stored(df, label, **options)) or held[label][-1])
+    for name, value in {"BLOCK": 64, "LEAST_BLOCK": 16, "LEAST_ROUND": 1, "GATHER_BYTES": 1 << 15, "ROW_BYTES": 1 << 11, "TILE": (16, 32)}.items():
+        monkeypatch.setattr(neardup, name, value)
+    rng = np.random.default_rng(17)
+    base = rng.normal(size=(90, 64))
+    vectors = np.concatenate([base[k] + rng.normal(scale=0.25, size=(150 if k == 0 else 1 + 3 * (k % 5), 64)) for k in range(90)]).astype(np.float32)
+    short = (rng.normal(size=(30, 1, 8)) + rng.normal(scale=0.2, size=(30, 4, 8))).reshape(-1, 8).astype(np.float32)
+    rows, want, first = [], {}, 0
+    for part in (vectors, short):
+        unit = part.astype(float) / np.linalg.norm(part.astype(float), axis=1, keepdims=True)
+        near = unit @ unit.T >= 0.9
+        np.fill_diagonal(near, False)
+        of = groups(len(part), list(zip(*map(list, np.nonzero(near)), strict=True)))
+        want |= {first + k: (int(near[k].sum()), first + of[k], of[k] == k) for k in range(len(part))}
+        rows += [(first + k, v.tolist()) for k, v in enumerate(part)]
+        first += len(part)
+    again = [rows[k] for k in (0, 0, 7, first - 1)]
+    for kind in ("float", "double"):
+        held.clear()
+        found = neardup.near_duplicates(spark.createDataFrame(rows + again, f"vec_id long, embedding array<{kind}>")).collect()
+        got = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in found}
+        assert len(found) == len(rows) + len(again) and sum(got[k] != want[k] for k in want) <= 2 and max(n for n, _, _ in got.values()) > 100
+        rotations, most = neardup.layout(len(vectors), 64, 0.9)
+        codes = held["vector-classes"][0].filter("code >= 64 * shiftleft(1L, 32)")
+        assert rotations and len(held["vector-links"]) > 1 and codes.agg({"n": "sum"}).first()[0] == most * len(vectors)
+        assert most < sum(neardup.plan(len(vectors), 64))
+
+
+def test_layout_of_regions_misses_few_pairs():
+    for n, dims, cosine in ((50_000, 64, 0.9), (3_000_000, 64, 0.9), (50_000, 256, 0.9), (50_000, 64, 0.8), (9000, 8, 0.9)):
+        rotations, near = neardup.layout(n, dims, cosine)
+        rng = np.random.default_rng(23)
+        a = neardup.unit_rows(rng.normal(size=(4000, dims)))
+        side = rng.normal(size=a.shape)
+        side = neardup.unit_rows(side - (side * a).sum(axis=1, keepdims=True) * a)
+        machine = neardup.CrossPolytope(dims, 1, rotations)
+        x, y = (machine.nearest(v.astype(np.float32), near) for v in (a, cosine * a + np.sqrt(1 - cosine**2) * side))
+        assert rotations and (~(x[:, :, None] == y[:, None, :]).any(axis=(1, 2))).sum() <= 8
+    # Few vectors, or a cosine that no region narrows down, meet all.
+    assert neardup.layout(5000, 64, 0.9) == neardup.layout(10**6, 64, 0.0) == (0, 1)
+
+
+def test_nearest_corners_are_the_nearest():
+    rng = np.random.default_rng(29)
+    for dims, rotations, near in ((64, 50, 10), (64, 3, 7), (100, 9, 5), (8, 3, 3)):
+        machine = neardup.CrossPolytope(dims, 1, rotations)
+        vectors = neardup.unit_rows(rng.normal(size=(300, dims)))
+        one = np.stack([machine.corners(vectors, 0, r)[:, 0] + r * 2 * machine.width for r in range(rotations)], axis=1)
+        got = machine.nearest(vectors.astype(np.float32), near)
+        assert all(len(set(g)) == near and g[0] in o for g, o in zip(got.tolist(), one.tolist(), strict=True))
+        sizes = np.abs(np.take_along_axis(vectors @ machine.directions, got // 2, axis=1))
+        rest = np.sort(np.abs(vectors @ machine.directions), axis=1)[:, -near:][:, ::-1]
+        assert np.allclose(sizes, rest, atol=1e-6)
