@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from slowtide.llm.common import batches_of, stored, whole_groups
 from slowtide.llm.components import components
 from slowtide.llm.words import mixed
+from slowtide.session import fresh_folder
 
 #: Further corners that are looked into for each rotation, and the share of linked pairs at the threshold that may be missed.
 PROBES, MISSED = 2, 1e-3
@@ -35,7 +36,7 @@ MOST_NEAR, PAIRS = 64, 4096
 #: Vectors that a tile of a matrix product has on its sides.
 TILE = 256, 2048
 #: Copies of all vectors that a round deals out; rounds of less than so many bytes are not worth it.
-COPIES, LEAST_ROUND = 2.5, 1 << 30
+COPIES, LEAST_ROUND = 1.8, 1 << 28
 #: Bytes that are compared at a time, that a task gathers before it deals them out, and of a row that carries several copies.
 GROUP_BYTES, GATHER_BYTES, ROW_BYTES = 1 << 23, 1 << 25, 1 << 16
 #: Tables of vectors are written without dictionaries, which would hold each of them.
@@ -210,35 +211,47 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.9, id_col: str = "vec_
     source = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast(f"array<{kind}>").alias("v"))
     hashes = [F.when(F.col("v").isNotNull(), x) for x in (F.xxhash64("v"), F.xxhash64(F.lit(2), "v"))]
     rows = source.mapInArrow(_packed(number), "vec_id long, v binary").withColumns(dict(zip("ch", hashes, strict=True)))
-    rows = stored(rows.withColumn("width", (F.length("v") / number.itemsize).cast("int")), "vector-rows", **PLAIN)
-    known = rows.filter("c IS NOT NULL")
+    path = fresh_folder(spark, "vector-rows")
+    rows.write.options(**PLAIN).parquet(path)
+    rows = spark.read.schema(rows.schema).parquet(path)
+    ids = stored(rows.select("vec_id", "c", "h", (F.length("v") / number.itemsize).cast("int").alias("width")), "vector-ids")
+    known = ids.filter("c IS NOT NULL")
     members = stored(known.groupBy("c", "h").agg(F.min("vec_id").alias("least"), F.countDistinct("vec_id").alias("size"), F.count("*").alias("n")), "vector-members")
     widest = known.agg(F.max("width")).first()[0] or 1
     wide = known.groupBy("width").agg(F.count("*").alias("n")).filter(F.col("n") > LEAST_BLOCK).collect()
     layouts = {r["width"]: layout(r["n"], r["width"], cosine, seed) for r in wide}
     with batches_of(spark, max(16, (1 << 24) // max(ROW_BYTES, widest * number.itemsize))):
-        found = _found(known, members, layouts, number, cosine, seed)
+        placed = _classes(rows.filter("c IS NOT NULL"), members, layouts, number, seed)
+        # From here on, vectors are read from their classes; a second copy of the input would stay for all rounds.
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        found = _found(placed, layouts, number, cosine)
     counts = found.filter("links > 0").groupBy("c").agg(F.sum("links").alias("links"))
     graph = components(found.filter("to IS NOT NULL").select(F.col("c").alias("a"), F.col("to").alias("b")))
     linked = members.join(counts, "c").join(graph, F.col("c") == F.col("node")).select("c", "h", "size", "least", "links", "root")
     roots = linked.groupBy("root").agg(F.min("least").alias("component"))
     classes = members.select("c", "h", "size", "least").join(linked.join(roots, "root").select("c", "h", "links", "component"), ["c", "h"], "left")
     classes = classes.select("c", "h", (F.col("size") - 1 + F.coalesce("links", F.lit(0))).alias("links"), F.coalesce("component", "least").alias("component"))
-    out = rows.select("vec_id", "c", "h").join(classes, ["c", "h"], "left")
+    out = ids.select("vec_id", "c", "h").join(classes, ["c", "h"], "left")
     component = F.coalesce("component", "vec_id")
     return out.select("vec_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(False)).alias("kept"))
 
 
-def _found(rows: DataFrame, members: DataFrame, layouts: dict, number: np.dtype, cosine: float, seed: int) -> DataFrame:
-    """Rows (c, links, to) of classes that have links: their number, counted in parts, and a spanning set."""
-    spark = rows.sparkSession
-    with _shuffles_cleaned(spark):
+def _classes(rows: DataFrame, members: DataFrame, layouts: dict, number: np.dtype, seed: int) -> DataFrame:
+    """Classes with their size and nearest corners, and how many of them a task has of each code (see ``_placed``)."""
+    with _shuffles_cleaned(rows.sparkSession):
         # A vector that stands in one row needs no shuffle to become a class.
         several = stored(members.filter("n > 1").select("c", "h"), "vector-several")
         alone = rows.join(several, ["c", "h"], "left_anti").select("c", F.lit(1).cast("long").alias("size"), "v")
         merged = rows.join(several, ["c", "h"], "left_semi").groupBy("c", "h").agg(F.first("v").alias("v")).join(members, ["c", "h"])
         whole = alone.unionByName(merged.select("c", "size", "v"))
-        placed = stored(whole.mapInArrow(_placed(layouts, number, seed), "c long, size long, width int, packed binary, code long, n long"), "vector-classes", **PLAIN)
+        return stored(whole.mapInArrow(_placed(layouts, number, seed), "c long, size long, width int, packed binary, code long, n long"), "vector-classes", **PLAIN)
+
+
+def _found(placed: DataFrame, layouts: dict, number: np.dtype, cosine: float) -> DataFrame:
+    """Rows (c, links, to) of classes that have links: their number, counted in parts, and a spanning set."""
+    spark = placed.sparkSession
+    with _shuffles_cleaned(spark):
         classes = placed.filter("c IS NOT NULL").select("c", "size", "width", "packed")
         crowd = placed.filter("code IS NOT NULL").groupBy("code").agg(F.sum("n").alias("n")).filter("n > 1").toArrow()
         code, n = (crowd[k].to_numpy() for k in ("code", "n"))
